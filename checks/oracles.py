@@ -355,7 +355,7 @@ ORACLES: dict[str, str] = {
         SELECT customer_id, sales_org_id, item_id, round(als_score_raw, 6) AS als_score_raw,
                als_score_rank, source FROM recs""",
     "recs_in_stock": "WITH " + BACKFILLED + "," + norm("recs") + ", stock AS (" + STOCK
-        + f""" GROUP BY l_partkey)
+        + f""" WHERE l_suppkey % 10 = 3 GROUP BY l_partkey)
         SELECT {NORMED_COLUMNS} FROM normed LEFT JOIN stock USING (item_id)
         WHERE coalesce(avail_qty, 0) >= 1""",
     "sink_recs": "WITH " + BACKFILLED + "," + norm("recs") + """

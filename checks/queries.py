@@ -23,6 +23,7 @@ from shelfwise.sources import tables
 
 ORDERS = RecommendationConfig()
 STOCKED = RecommendationConfig(filter_out_of_stock=True)
+WAREHOUSE = RecommendationConfig(filter_out_of_stock=True, warehouse_id=3)
 SIMILAR = SimilarityConfig()
 # Smaller fits than a nightly run's, for queries that run often.
 SMALL_FIT = RecommendationConfig(factors=16, iterations=5, topk=50)
@@ -86,9 +87,7 @@ def inventory_avail(t: Tables) -> DataFrame:
 
 @query("inventory_avail_wh")
 def inventory_avail_wh(t: Tables) -> DataFrame:
-    return tables.inventory(
-        t.inventory(), RecommendationConfig(filter_out_of_stock=True, warehouse_id=3)
-    )
+    return tables.inventory(t.inventory(), WAREHOUSE)
 
 
 @query("txn_counts")
@@ -201,14 +200,13 @@ def _closest(found: DataFrame) -> DataFrame:
 
 @query("knn_block")
 def knn_block(t: Tables) -> DataFrame:
-    vectors = t.vectors()
-    blocks = vectors.select("customer_id", F.col("label").alias("block"))
-    return _closest(neighbors.closest_customers(vectors, blocks, 10))
+    vectors = t.vectors().withColumnRenamed("label", "block")
+    return _closest(neighbors.closest_customers(vectors, 10))
 
 
 @query("knn_all")
 def knn_all(t: Tables) -> DataFrame:
-    return _closest(neighbors.closest_customers(t.taste_vectors(["customer_id"]), None, 10))
+    return _closest(neighbors.closest_customers(t.taste_vectors(["customer_id"]), 10))
 
 
 @query("knn_zero_vector")
@@ -223,21 +221,22 @@ def knn_zero_vector(t: Tables) -> DataFrame:
         F.when(number % 49 == 1, None).when(number == 3, 99).otherwise(F.col("label"))
         .alias("block"),
     )
-    return _closest(
-        neighbors.closest_customers(vectors.drop("block"), vectors.drop("features"), 60)
-    )
+    return _closest(neighbors.closest_customers(vectors, 60))
+
+
+def _blocked(t: Tables, scope: str) -> DataFrame:
+    blocks = tables.block_attributes(t.customer_attr(), scope)
+    return neighbors.with_blocks(t.taste_vectors(["customer_id"]), blocks)
 
 
 @query("knn_scope_region")
 def knn_scope_region(t: Tables) -> DataFrame:
-    blocks = tables.block_attributes(t.customer_attr(), "region")
-    return _closest(neighbors.closest_customers(t.taste_vectors(["customer_id"]), blocks, 10))
+    return _closest(neighbors.closest_customers(_blocked(t, "region"), 10))
 
 
 @query("similar_customers_rows")
 def similar_customers_rows(t: Tables) -> DataFrame:
-    blocks = tables.block_attributes(t.customer_attr(), "segment")
-    rows = neighbors.neighbor_rows(t.taste_vectors(["customer_id"]), blocks, SIMILAR)
+    rows = neighbors.neighbor_rows(_blocked(t, "segment"), SIMILAR)
     return rounded(rows, "sim_als", "sim_final")
 
 
@@ -308,9 +307,10 @@ def backfill(t: Tables) -> DataFrame:
 
 @query("recs_in_stock")
 def recs_in_stock(t: Tables) -> DataFrame:
-    stock = tables.inventory(t.inventory(), STOCKED)
-    recs = ranking.normalise_rows(_backfilled(t), STOCKED)
-    return rounded(ranking.in_stock(recs, stock, STOCKED), "als_score_raw", "als_score_mm")
+    """Stock of one warehouse, which does not hold every item."""
+    stock = tables.inventory(t.inventory(), WAREHOUSE)
+    recs = ranking.normalise_rows(_backfilled(t), WAREHOUSE)
+    return rounded(ranking.in_stock(recs, stock, WAREHOUSE), "als_score_raw", "als_score_mm")
 
 
 # ---- sinks: written, read back ----------------------------------------------
@@ -416,11 +416,10 @@ def order_recommendations_shape(t: Tables) -> DataFrame:
 
 def customer_job(t: Tables, config: SimilarityConfig) -> jobs.CustomerSimilarity:
     counts = tables.transaction_counts(t.transactions(), t.transaction_lines(), config, t.as_of())
-    fitted = jobs.fit_customer_factors(counts, config)
     blocks = tables.block_attributes(t.customer_attr(), config.block_scope)
+    fitted = jobs.fit_customer_factors(counts, config, blocks)
     return jobs.CustomerSimilarity(
-        neighbors.factors_wide(fitted, config.factors),
-        neighbors.neighbor_rows(fitted, blocks, config),
+        neighbors.factors_wide(fitted, config.factors), neighbors.neighbor_rows(fitted, config)
     )
 
 

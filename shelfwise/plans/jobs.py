@@ -51,8 +51,7 @@ def fit_order_factors(interactions: DataFrame, config: RecommendationConfig) ->
     )
     rank = config.factors
     if ratings.isEmpty():
-        empty = spark_factors(found.sparkSession)
-        users, goods = empty, empty
+        users = goods = no_factors(found.sparkSession)
     else:
         model = factors.fit_implicit(
             ratings,
@@ -70,7 +69,7 @@ def fit_order_factors(interactions: DataFrame, config: RecommendationConfig) ->
     )
 
 
-def spark_factors(spark: SparkSession) -> DataFrame:
+def no_factors(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "id int, features array<float>")
 
 
@@ -109,8 +108,14 @@ def order_recommendations(
 # ---- similar customers -----------------------------------------------------
 
 
-def fit_customer_factors(counts: DataFrame, config: SimilarityConfig) -> DataFrame | None:
-    """(customer_id, features), or None where the window holds no transactions."""
+def fit_customer_factors(
+    counts: DataFrame, config: SimilarityConfig, blocks: DataFrame | None = None
+) -> DataFrame | None:
+    """(customer_id, features[, block]), or None where the window holds no transactions.
+
+    Written once with the block beside the vector: the wide table and both sides of the
+    neighbour search read it back.
+    """
     found = materialize(matrix.count_cells(counts, config.confidence_alpha), "counts")
     if found.isEmpty():
         return None
@@ -132,7 +137,8 @@ def fit_customer_factors(counts: DataFrame, config: SimilarityConfig) -> DataFra
         seed=config.seed,
     )
     fitted = factors.attach(customers, model.userFactors, "user_idx", config.factors)
-    return materialize(fitted.select("customer_id", "features"), "customer-factors")
+    fitted = fitted.select("customer_id", "features")
+    return materialize(neighbors.with_blocks(fitted, blocks), "customer-factors")
 
 
 @dataclass(frozen=True)
@@ -150,18 +156,19 @@ def similar_customers(
     counts = tables.transaction_counts(
         source.table(spark, "transactions"), source.table(spark, "transaction_lines"), config, as_of
     )
-    fitted = fit_customer_factors(counts, config)
+    blocks = None
+    if config.write_neighbors:
+        attributes = source.optional_table(spark, "customer_attr")
+        if attributes is not None and not attributes.isEmpty():
+            blocks = tables.block_attributes(attributes, config.block_scope)
+    fitted = fit_customer_factors(counts, config, blocks)
     if fitted is None:
         log.warning("tenant %s: no transactions in the look-back window", source.name)
         return None
     wide = neighbors.factors_wide(fitted, config.factors)
     if not config.write_neighbors:
         return CustomerSimilarity(wide, None)
-    attributes = source.optional_table(spark, "customer_attr")
-    if attributes is not None and attributes.isEmpty():
-        attributes = None
-    blocks = tables.block_attributes(attributes, config.block_scope)
-    return CustomerSimilarity(wide, neighbors.neighbor_rows(fitted, blocks, config))
+    return CustomerSimilarity(wide, neighbors.neighbor_rows(fitted, config))
 
 
 # ---- running by name -------------------------------------------------------
