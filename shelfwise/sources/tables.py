@@ -17,10 +17,10 @@ ATTRIBUTE_COLUMNS = ("region_id", "channel_id", "segment_id")
 
 
 def _number(name: str, kind: str = "double") -> Column:
-    """Text that is no number, and NaN, become null."""
+    """Text that is no finite number becomes null."""
     value = F.col(name).try_cast(kind)
     if kind in ("double", "float"):
-        return F.when(~F.isnan(value), value)
+        return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
     return value
 
 
