@@ -17,7 +17,7 @@ from shelfwise.functions.vectors import l2_norm, l2_unit
 from shelfwise.operators import matrix, neighbors, ranking
 from shelfwise.operators.nearest import match_rows
 from shelfwise.plans import jobs, runs
-from shelfwise.session import scratch_path
+from shelfwise.session import materialize, scratch_path
 from shelfwise.sinks import tables as sinks
 from shelfwise.sources import tables
 
@@ -174,6 +174,11 @@ def dense_index_items(t: Tables) -> DataFrame:
 # ---- vectors ----------------------------------------------------------------
 
 
+def _tastes(t: Tables, keys: list[str]) -> DataFrame:
+    """A search reads its vectors more than once, so they are written once."""
+    return materialize(t.taste_vectors(keys), "tastes")
+
+
 @query("l2_norm")
 def l2_norms(t: Tables) -> DataFrame:
     return t.vectors().select("customer_id", r6(l2_norm(F.col("features"))).alias("l2_norm"))
@@ -188,7 +193,7 @@ def l2_units(t: Tables) -> DataFrame:
 
 @query("topk_items")
 def topk_items(t: Tables) -> DataFrame:
-    lists = ranking.top_items(t.taste_vectors(ENTITY), t.item_vectors(), 20)
+    lists = ranking.top_items(_tastes(t, ENTITY), t.item_vectors(), 20)
     return rounded(ranking.list_rows(lists), "als_score_raw")
 
 
@@ -206,7 +211,7 @@ def knn_block(t: Tables) -> DataFrame:
 
 @query("knn_all")
 def knn_all(t: Tables) -> DataFrame:
-    return _closest(neighbors.closest_customers(t.taste_vectors(["customer_id"]), 10))
+    return _closest(neighbors.closest_customers(_tastes(t, ["customer_id"]), 10))
 
 
 @query("knn_zero_vector")
@@ -226,7 +231,8 @@ def knn_zero_vector(t: Tables) -> DataFrame:
 
 def _blocked(t: Tables, scope: str) -> DataFrame:
     blocks = tables.block_attributes(t.customer_attr(), scope)
-    return neighbors.with_blocks(t.taste_vectors(["customer_id"]), blocks)
+    tastes = neighbors.with_blocks(t.taste_vectors(["customer_id"]), blocks)
+    return materialize(tastes, "blocked-tastes")
 
 
 @query("knn_scope_region")
@@ -256,7 +262,9 @@ def _recs(t: Tables) -> DataFrame:
 
 
 def _backfilled(t: Tables) -> DataFrame:
-    return ranking.backfill(_recs(t), tables.reorder_stats(t.reorder_stats()), ORDERS)
+    """The ranked rows are read twice, so they are written once."""
+    recs = materialize(_recs(t), "recs")
+    return ranking.backfill(recs, tables.reorder_stats(t.reorder_stats()), ORDERS)
 
 
 @query("rec_counts")
@@ -289,7 +297,7 @@ def score_norm_edges(t: Tables) -> DataFrame:
 @query("score_norm_lists")
 def score_norm_lists(t: Tables) -> DataFrame:
     """Normalised straight from the ranked lists of the item search."""
-    lists = ranking.top_items(t.taste_vectors(ENTITY), t.item_vectors(), 20)
+    lists = ranking.top_items(_tastes(t, ENTITY), t.item_vectors(), 20)
     return rounded(ranking.normalise_lists(lists, ORDERS), "als_score_raw", "als_score_mm")
 
 

@@ -6,6 +6,8 @@ computed from columns it has.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -137,12 +139,9 @@ class Tables:
     def taste_vectors(self, keys: list[str]) -> DataFrame:
         """What a customer bought, as the quantity-weighted sum of item vectors."""
         bought = self.lines().groupBy(*keys, "item_id").agg(F.sum("weight").alias("weight"))
-        spread = bought.join(self.item_vectors(), "item_id").select(
-            *keys, "weight", F.posexplode("features").alias("pos", "x")
-        )
-        sums = spread.groupBy(*keys, "pos").agg(F.sum(F.col("weight") * F.col("x")).alias("x"))
-        packed = sums.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("v"))
-        return packed.select(*keys, F.col("v.x").alias("features"))
+        total = Summarizer.sum(array_to_vector("features"), F.col("weight"))
+        sums = bought.join(self.item_vectors(), "item_id").groupBy(*keys).agg(total.alias("v"))
+        return sums.select(*keys, vector_to_array("v").alias("features"))
 
     # ---- runs ---------------------------------------------------------------
 

@@ -16,26 +16,41 @@ INVENTORY_SCHEMA = "item_id bigint, avail_qty bigint"
 ATTRIBUTE_COLUMNS = ("region_id", "channel_id", "segment_id")
 
 
-def _number(name: str, kind: str = "double") -> Column:
-    """Text that is no finite number becomes null."""
-    value = F.col(name).try_cast(kind)
-    if kind in ("double", "float"):
-        return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
-    return value
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _number(raw: DataFrame, name: str, kind: str = "double") -> Column:
+    """A typed number; text that is no number becomes null.
+
+    A column that has the type already stays bare, so that filters on it reach the scan.
+    """
+    found = raw.schema[name].dataType.simpleString()
+    if found == kind or (kind == "double" and found in NUMERIC):
+        return F.col(name)
+    return F.col(name).try_cast(kind)
+
+
+def _finite(value: Column) -> Column:
+    """NaN sorts above infinity, so one range test drops both."""
+    return F.when((value < float("inf")) & (value > -float("inf")), value.cast("double"))
 
 
 def interactions(raw: DataFrame, config: RecommendationConfig) -> DataFrame:
     """Usable interactions with log-scaled weights."""
     typed = raw.select(
-        _number("customer_id", "bigint").alias("customer_id"),
-        _number("item_id", "bigint").alias("item_id"),
-        _number("weight", "float").cast("double").alias("weight"),
+        _number(raw, "customer_id", "bigint").alias("customer_id"),
+        _number(raw, "item_id", "bigint").alias("item_id"),
+        _number(raw, "weight").alias("weight"),
         sales_org(raw).alias("sales_org_id"),
     )
     usable = typed.where(
-        F.col("customer_id").isNotNull() & F.col("item_id").isNotNull() & (F.col("weight") > 0)
+        F.col("customer_id").isNotNull()
+        & F.col("item_id").isNotNull()
+        & (F.col("weight") > 0)
+        & (F.col("weight") < float("inf"))
     )
-    return usable.withColumn("weight", log_weight(F.col("weight"), config.weight_alpha))
+    weight = F.col("weight").cast("float").cast("double")
+    return usable.withColumn("weight", log_weight(weight, config.weight_alpha))
 
 
 def policy(raw: DataFrame) -> DataFrame:
@@ -47,12 +62,11 @@ def policy(raw: DataFrame) -> DataFrame:
 
 
 def reorder_stats(raw: DataFrame) -> DataFrame:
+    days = ("days_since_last", "med_cycle_days", "avg_cycle_days")
     return raw.select(
-        _number("customer_id", "bigint").alias("customer_id"),
-        _number("item_id", "bigint").alias("item_id"),
-        _number("days_since_last").alias("days_since_last"),
-        _number("med_cycle_days").alias("med_cycle_days"),
-        _number("avg_cycle_days").alias("avg_cycle_days"),
+        _number(raw, "customer_id", "bigint").alias("customer_id"),
+        _number(raw, "item_id", "bigint").alias("item_id"),
+        *[_finite(_number(raw, name)).alias(name) for name in days],
         sales_org(raw).alias("sales_org_id"),
     ).where(F.col("customer_id").isNotNull() & F.col("item_id").isNotNull())
 

@@ -1,0 +1,150 @@
+"""The jobs from tenant tables to written targets."""
+
+from datetime import datetime, timedelta
+
+import numpy as np
+import pytest
+
+from shelfwise.config import RecommendationConfig, SimilarityConfig
+from shelfwise.plans import jobs
+from shelfwise.session import scratch_path
+from shelfwise.sources.tenants import TenantSource
+
+NOW = datetime(2024, 6, 1)
+SMALL = RecommendationConfig(factors=4, iterations=3, topk=20)
+FEW = RecommendationConfig(factors=4, iterations=3, topk=6)
+SIMILAR = SimilarityConfig(factors=4, iterations=3, top_m=5)
+STOCKED = RecommendationConfig(
+    factors=4, iterations=3, topk=20, filter_out_of_stock=True, warehouse_id=1
+)
+
+
+def write(spark, path, name, rows, schema):
+    spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+@pytest.fixture(scope="module")
+def source(spark):
+    path = scratch_path(spark, "tenant")
+    rng = np.random.default_rng(11)
+    picks = [(int(c), int(i), float(w), "AB"[c % 2]) for c, i, w in rng.integers(1, [40, 31, 9], (600, 3))]
+    write(spark, path, "vw_interactions", picks,
+          "customer_id bigint, item_id bigint, weight double, sales_org_id string")
+    stats = [(c, 100 + k, 40.0, None, None, "AB"[c % 2]) for c in range(1, 40) for k in range(12)]
+    write(spark, path, "customer_item_reorder_stats", stats,
+          "customer_id bigint, item_id bigint, days_since_last double, med_cycle_days double, "
+          "avg_cycle_days double, sales_org_id string")
+    write(spark, path, "inventory_onhand", [(i, 10.0, 0.0, i % 2) for i in range(1, 31)],
+          "item_id bigint, on_hand double, allocated double, warehouse_id int")
+    days = rng.integers(0, 500, 400)
+    write(spark, path, "transactions",
+          [(n, n % 39 + 1, NOW - timedelta(days=int(d)), ("invoice", "return", "order")[n % 3])
+           for n, d in enumerate(days)],
+          "txn_id bigint, customer_id bigint, txn_date timestamp, doc_type string")
+    write(spark, path, "transaction_lines",
+          [(int(t), int(i)) for t, i in rng.integers(0, [400, 30], (1500, 2))],
+          "txn_id bigint, item_id bigint")
+    write(spark, path, "customer_attr",
+          [(c, 1, 1, None if c == 7 else f"s{c % 3}") for c in range(1, 40)],
+          "customer_id bigint, region_id int, channel_id int, segment_id string")
+    return TenantSource("T", path=path)
+
+
+def test_order_recommendations(spark, source):
+    target = scratch_path(spark, "out")
+    assert jobs.run_job("customer_order_recommendation_als", spark, source, target, config=SMALL)
+    recs = spark.read.parquet(f"{target}/user_rec_als").toPandas()
+    entities = spark.read.parquet(f"{source.path}/vw_interactions").select(
+        "customer_id", "sales_org_id").distinct().count()
+    assert len(recs) == entities * 20 and set(recs.source) == {"als"}
+    for _, own in recs.groupby(["customer_id", "sales_org_id"]):
+        own = own.sort_values("als_score_rank")
+        assert list(own.als_score_rank) == list(range(1, 21))
+        assert own.als_score_raw.is_monotonic_decreasing and own.item_id.is_unique
+        assert own.als_score_mm.between(0, 1).all()
+
+
+def test_short_lists_are_backfilled(spark, source):
+    recs = jobs.order_recommendations(spark, source, FEW).toPandas()
+    entity = recs.groupby(["customer_id", "sales_org_id", "source"]).size().unstack()
+    assert (entity["als"] == 6).all() and (entity["backfill"] == 10).all()
+    filled = recs[recs.source == "backfill"]
+    assert set(filled.als_score_mm) == {0.05} and set(filled.als_score_rank) == {999.0}
+    assert set(filled.item_id) == set(range(100, 110))
+
+
+def test_out_of_stock_items_leave_gaps_in_the_ranks(spark, source):
+    everything = jobs.order_recommendations(spark, source, SMALL).toPandas()
+    left = jobs.order_recommendations(spark, source, STOCKED).toPandas()
+    keep = everything[everything.item_id % 2 == 1]
+    order = ["customer_id", "sales_org_id", "als_score_rank"]
+    columns = [*order, "item_id", "als_score_mm"]
+    a, b = (df.sort_values(order)[columns].reset_index(drop=True) for df in (keep, left))
+    assert a.equals(b) and len(left) < len(everything)
+
+
+def test_no_usable_interactions_is_an_error(spark, source):
+    path = scratch_path(spark, "empty")
+    write(spark, path, "vw_interactions", [(1, 1, 0.0, "A")],
+          "customer_id bigint, item_id bigint, weight double, sales_org_id string")
+    spark.read.parquet(f"{source.path}/customer_item_reorder_stats").write.parquet(
+        f"{path}/customer_item_reorder_stats")
+    with pytest.raises(ValueError, match="no usable interactions"):
+        jobs.order_recommendations(spark, TenantSource("E", path=path), SMALL)
+
+
+def test_similar_customers(spark, source):
+    target = scratch_path(spark, "out")
+    assert jobs.run_job("similar_customers", spark, source, target, config=SIMILAR, as_of=NOW)
+    wide = spark.read.parquet(f"{target}/als_customer_factors_wide")
+    assert wide.columns == ["customer_id", "l2_norm", "f1", "f2", "f3", "f4"]
+    near = spark.read.parquet(f"{target}/customer_neighbors_hybrid").toPandas()
+    assert 7 not in set(near.customer_id) | set(near.neighbor_id)
+    assert (near.customer_id % 3 == near.neighbor_id % 3).all()
+    assert (near.customer_id != near.neighbor_id).all()
+    assert near.sim_overlap.isna().all() and (near.sim_als == near.sim_final).all()
+    vectors = {r.customer_id: np.array(r[2:]) for r in wide.collect()}
+    for row in near.itertuples():
+        a, b = vectors[row.customer_id], vectors[row.neighbor_id]
+        assert abs(a @ b / np.linalg.norm(a) / np.linalg.norm(b) - row.sim_als) < 1e-9
+    assert set(zip(near.k_window, near.alpha, near.lookback_days, near.min_overlap_items)) == {
+        (50, 0.6, 365, 3)}
+
+
+def test_without_attributes_all_customers_are_one_block(spark, source):
+    bare = TenantSource("T", path=source.path, absent=frozenset({"customer_attr"}))
+    near = jobs.similar_customers(spark, bare, SIMILAR, NOW).neighbors.toPandas()
+    assert 7 in set(near.customer_id)
+    assert (near.groupby("customer_id").size() == 5).all()
+    assert (near.customer_id % 3 != near.neighbor_id % 3).any()
+
+
+def test_no_neighbours_wanted(spark, source):
+    config = SimilarityConfig(factors=4, iterations=2, write_neighbors=False)
+    assert jobs.similar_customers(spark, source, config, NOW).neighbors is None
+
+
+def test_no_transactions_keeps_the_last_output(spark, source):
+    target = scratch_path(spark, "out")
+    jobs.run_similar_customers(spark, source, target, SIMILAR, as_of=NOW)
+    before = spark.read.parquet(f"{target}/als_customer_factors_wide").count()
+    late = NOW + timedelta(days=5000)
+    assert not jobs.run_similar_customers(spark, source, target, SIMILAR, as_of=late)
+    assert spark.read.parquet(f"{target}/als_customer_factors_wide").count() == before > 0
+
+
+@pytest.mark.parametrize("name", sorted(jobs.JOBS))
+def test_dry_run_checks_and_writes_nothing(spark, source, name):
+    target = scratch_path(spark, "dry")
+    assert not jobs.run_job(name, spark, source, target, dry_run=True)
+    assert TenantSource("D", path=target).optional_table(spark, "user_rec_als") is None
+    path = scratch_path(spark, "odd")
+    for table in jobs.INPUTS:
+        spark.range(1).write.parquet(f"{path}/{table}")
+    with pytest.raises(ValueError, match="lacks the columns"):
+        jobs.run_job(name, spark, TenantSource("O", path=path), target, dry_run=True)
+
+
+def test_unknown_job(spark, source):
+    with pytest.raises(KeyError):
+        jobs.run_job("nothing", spark, source, "x")
