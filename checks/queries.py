@@ -155,9 +155,13 @@ def matrix_profile(t: Tables) -> DataFrame:
     return matrix.profile(tables.interactions(t.interactions(), ORDERS))
 
 
+def _weighted(t: Tables) -> DataFrame:
+    return matrix.bm25(materialize(_cells(t), "cells"), ORDERS)
+
+
 @query("bm25")
 def bm25(t: Tables) -> DataFrame:
-    return rounded(matrix.bm25(_cells(t), ORDERS), "weight").select(*ENTITY, "item_id", "weight")
+    return rounded(_weighted(t), "weight").select(*ENTITY, "item_id", "weight")
 
 
 @query("dense_index")
@@ -257,7 +261,7 @@ def factors_wide(t: Tables) -> DataFrame:
 
 def _recs(t: Tables) -> DataFrame:
     """Each entity's own items ranked by weight: lists of every length."""
-    scored = matrix.bm25(_cells(t), ORDERS).withColumnRenamed("weight", "als_score_raw")
+    scored = _weighted(t).withColumnRenamed("weight", "als_score_raw")
     return ranking.rank_cells(scored, ORDERS.topk)
 
 
@@ -316,7 +320,7 @@ def backfill(t: Tables) -> DataFrame:
 @query("recs_in_stock")
 def recs_in_stock(t: Tables) -> DataFrame:
     """Stock of one warehouse, which does not hold every item."""
-    stock = tables.inventory(t.inventory(), WAREHOUSE)
+    stock = materialize(tables.inventory(t.inventory(), WAREHOUSE), "stock")
     recs = ranking.normalise_rows(_backfilled(t), WAREHOUSE)
     return rounded(ranking.in_stock(recs, stock, WAREHOUSE), "als_score_raw", "als_score_mm")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, fields
+from typing import ClassVar
 
 TRUE_WORDS = frozenset({"1", "true", "yes"})
 
@@ -12,9 +13,43 @@ def parse_flag(text: str) -> bool:
     return text.strip().lower() in TRUE_WORDS
 
 
+# Environment variables and the parameters they set, per job.
+RECOMMENDATION_ENV = {
+    "ALS_FACTORS": "factors",
+    "ALS_REG": "regularization",
+    "ALS_ITERS": "iterations",
+    "ALS_TOPK": "topk",
+    "ALS_ALPHA": "weight_alpha",
+    "DUE_THRESHOLD": "due_threshold",
+    "DEFAULT_CYCLE_DAYS": "default_cycle_days",
+    "EXPORT_FILTER_OOS": "filter_out_of_stock",
+    "WAREHOUSE_ID": "warehouse_id",
+    "MIN_AVAIL_QTY": "min_available",
+    "SAFETY_FRAC": "safety_fraction",
+    "ALS_BACKFILL_FLOOR": "backfill_floor",
+}
+SIMILARITY_ENV = {
+    "LOOKBACK_DAYS": "lookback_days",
+    "ALS_K": "factors",
+    "ALS_CONF_ALPHA": "confidence_alpha",
+    "ALS_ITERS": "iterations",
+    "ALS_REG": "regularization",
+    "ALS_TOP_M": "top_m",
+}
+
+
 class FromOptions:
     """Build a config from string options; unknown names are rejected."""
 
+    ENV: ClassVar[Mapping[str, str]] = {}
+
+    @classmethod
+    def from_env(cls, environment: Mapping[str, str]):
+        """Only the variables this job knows count; the others keep their defaults."""
+        return cls.from_options(
+            {field: environment[name] for name, field in cls.ENV.items() if name in environment}
+        )
+
     @classmethod
     def from_options(cls, options: Mapping[str, str]):
         known = {f.name: f for f in fields(cls)}
@@ -43,6 +78,8 @@ def _parse(declared: str, text: str):
 class RecommendationConfig(FromOptions):
     """Order recommendations: one ranked item list per (customer, sales org)."""
 
+    ENV: ClassVar[Mapping[str, str]] = RECOMMENDATION_ENV
+
     factors: int = 64
     regularization: float = 0.08
     iterations: int = 15
@@ -72,6 +109,8 @@ class RecommendationConfig(FromOptions):
 class SimilarityConfig(FromOptions):
     """Similar customers: latent factors and nearest neighbours inside a block."""
 
+    ENV: ClassVar[Mapping[str, str]] = SIMILARITY_ENV
+
     lookback_days: int = 365
     doc_types: tuple[str, ...] = ("invoice", "return")
     factors: int = 32

@@ -69,11 +69,12 @@ def bm25(
 ) -> DataFrame:
     """Reweighted cells, with whatever else the two side tables carry.
 
-    Both side tables hold one row per key, so a hot entity or item skews only the
-    cell side of a join, which adaptive execution splits.
+    ``found`` is read several times: pass a written table. The side tables are written
+    too, since adaptive execution can split a hot entity or item only when neither side
+    of the join is an aggregate on its key.
     """
-    lengths = entity_lengths(found) if lengths is None else lengths
-    holders = item_holders(found) if holders is None else holders
+    lengths = materialize(entity_lengths(found), "lengths") if lengths is None else lengths
+    holders = materialize(item_holders(found), "holders") if holders is None else holders
     whole = lengths.agg(
         F.struct(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"))
     ).scalar()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from shelfwise.config import RecommendationConfig, SimilarityConfig
 from shelfwise.functions.keys import ENTITY
 from shelfwise.operators import factors, matrix, neighbors, ranking
-from shelfwise.session import materialize
+from shelfwise.session import materialize, scratch_run
 from shelfwise.sinks import tables as sinks
 from shelfwise.sources import tables
 from shelfwise.sources.tenants import TenantSource
@@ -101,7 +101,9 @@ def order_recommendations(
     stats = tables.reorder_stats(source.table(spark, "customer_item_reorder_stats"))
     stock = None
     if config.filter_out_of_stock:
-        stock = tables.inventory(source.table(spark, "inventory_onhand"), config)
+        stock = materialize(
+            tables.inventory(source.table(spark, "inventory_onhand"), config), "stock"
+        )
     return recommend(fit_order_factors(interactions, config), stats, stock, config)
 
 
@@ -201,8 +203,9 @@ def run_order_recommendations(
     check_inputs(spark, source, names + ["inventory_onhand"] * config.filter_out_of_stock)
     if dry_run:
         return False
-    recs = order_recommendations(spark, source, config)
-    sinks.replace_files(recs, f"{target}/user_rec_als")
+    with scratch_run(spark):
+        recs = order_recommendations(spark, source, config)
+        sinks.replace_files(recs, f"{target}/user_rec_als")
     return True
 
 
@@ -219,12 +222,13 @@ def run_similar_customers(
     check_inputs(spark, source, ["transactions", "transaction_lines"])
     if dry_run:
         return False
-    found = similar_customers(spark, source, config, as_of)
-    if found is None:
-        return False
-    sinks.replace_files(found.factors_wide, f"{target}/als_customer_factors_wide")
-    if found.neighbors is not None:
-        sinks.replace_files(found.neighbors, f"{target}/customer_neighbors_hybrid")
+    with scratch_run(spark):
+        found = similar_customers(spark, source, config, as_of)
+        if found is None:
+            return False
+        sinks.replace_files(found.factors_wide, f"{target}/als_customer_factors_wide")
+        if found.neighbors is not None:
+            sinks.replace_files(found.neighbors, f"{target}/customer_neighbors_hybrid")
     return True
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.operators.skew import salted_join
+
 # Marks of progress lines, and of error lines on standard output.
 PROGRESS_MARKS = (
     "%|", "it/s", "ETA:", "elapsed", "remaining", "Neighbors (ALS):", "Uploading factors",
@@ -60,13 +62,12 @@ def error_lines(lines: DataFrame, runs: DataFrame) -> DataFrame:
 
     Output is searched only for runs that wrote ERROR there at least once.
     """
-    failed = runs.where(F.col("status") == "failed").select("job_id").distinct()
+    failed = runs.where(F.col("status") == "failed").select("job_id")
     own = lines.join(failed, "job_id", "left_semi").withColumn(
         "line", F.trim(F.col("line"), F.lit(BLANKS))
     )
     output = own.where(F.col("stream") == "stdout")
     alarmed = output.where(F.contains("line", F.lit("ERROR"))).select("job_id").distinct()
-    marked = output.where(_holds_any(F.col("line"), ERROR_MARKS)).join(
-        alarmed, "job_id", "left_semi"
-    )
+    marked = output.where(_holds_any(F.col("line"), ERROR_MARKS))
+    marked = salted_join(marked, alarmed, ["job_id"], ["line"])
     return own.where(F.col("stream") == "stderr").unionByName(marked)

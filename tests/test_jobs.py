@@ -1,5 +1,6 @@
 """The jobs from tenant tables to written targets."""
 
+import os
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -64,6 +65,15 @@ def test_order_recommendations(spark, source):
         assert own.als_score_mm.between(0, 1).all()
 
 
+def test_a_run_leaves_no_scratch_behind(spark, source):
+    target = scratch_path(spark, "out")
+    place = scratch_path(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
+    before = {name for name in os.listdir(place) if name.startswith("run-")}
+    jobs.run_order_recommendations(spark, source, target, FEW)
+    jobs.run_similar_customers(spark, source, target, SIMILAR, as_of=NOW)
+    assert {name for name in os.listdir(place) if name.startswith("run-")} == before
+
+
 def test_short_lists_are_backfilled(spark, source):
     recs = jobs.order_recommendations(spark, source, FEW).toPandas()
     entity = recs.groupby(["customer_id", "sales_org_id", "source"]).size().unstack()

@@ -1,0 +1,134 @@
+"""One key holds a third of the rows or more; results stay whole and exact."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise.config import RecommendationConfig, SimilarityConfig
+from shelfwise.operators import matrix, neighbors, ranking
+from shelfwise.session import materialize
+from shelfwise.sources import tables
+from tests.test_plans import plan_of
+
+CONFIG = RecommendationConfig()
+
+
+@pytest.fixture()
+def skewed_joins(setting):
+    """Sort-merge joins only, and skew handling at this small size."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "2KB")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.1")
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2KB")
+    # Several files, so several map tasks: a hot partition is split between their outputs.
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    setting("spark.sql.files.openCostInBytes", "128MB")
+
+
+def hot_interactions(spark):
+    """A third of the rows: one customer; another third: one item."""
+    return spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 9973).cast("bigint").alias("customer_id"),
+        F.when(F.col("id") % 3 == 1, 5).otherwise(F.col("id") % 20_011).cast("bigint").alias("item_id"),
+        (F.col("id") % 7 + 1).cast("double").alias("weight"),
+        F.lit("A").alias("sales_org_id"),
+    )
+
+
+def weighted(raw):
+    return matrix.bm25(materialize(matrix.cells(tables.interactions(raw, CONFIG)), "cells"), CONFIG)
+
+
+def test_weights_with_a_hot_customer_and_a_hot_item(spark, skewed_joins):
+    raw = hot_interactions(spark)
+    pdf = raw.toPandas()
+    pdf["w"] = np.log1p(40 * pdf.weight)
+    cells = pdf.groupby(["customer_id", "item_id"]).w.sum().reset_index()
+    length = cells.groupby("customer_id").w.sum()
+    holders = cells.groupby("item_id").size()
+    norm = 0.2 + 0.8 * cells.customer_id.map(length) / length.mean()
+    idf = np.log(len(length)) - np.log1p(cells.item_id.map(holders))
+    cells["want"] = cells.w * 101 / (100 * norm + cells.w) * idf
+    got = weighted(raw).toPandas()
+    both = cells.merge(got, on=["customer_id", "item_id"])
+    assert len(both) == len(cells) == len(got)
+    assert np.allclose(both.want, both.weight, atol=1e-9)
+
+
+def test_skewed_join_is_split(spark, skewed_joins):
+    scored = weighted(hot_interactions(spark))
+    scored.toArrow()
+    assert plan_of(scored).count("skew=true") >= 2
+
+
+def test_counts_with_a_hot_transaction(spark, skewed_joins):
+    lines = spark.range(60_000).select(
+        F.when(F.col("id") % 2 == 0, 3).otherwise(F.col("id") % 50).cast("bigint").alias("txn_id"),
+        (F.col("id") % 11).alias("item_id"))
+    transactions = spark.range(50).select(
+        F.col("id").alias("txn_id"), (F.col("id") % 9).alias("customer_id"),
+        F.current_timestamp().alias("txn_date"), F.lit("invoice").alias("doc_type"))
+    counts = tables.transaction_counts(transactions, lines, SimilarityConfig())
+    got = counts.toPandas()
+    assert "skew=true" in plan_of(counts)
+    want = lines.toPandas().assign(customer_id=lambda d: d.txn_id % 9).groupby(
+        ["customer_id", "item_id"]).size()
+    assert got.set_index(["customer_id", "item_id"]).cnt.sort_index().equals(
+        want.rename("cnt").sort_index())
+
+
+def test_stock_filter_with_a_hot_item(spark, skewed_joins):
+    recs = spark.range(60_000).select(
+        F.col("id").alias("customer_id"),
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 5000).cast("bigint").alias("item_id"))
+    stock = materialize(
+        spark.range(5000).select(F.col("id").alias("item_id"), (F.col("id") % 2).alias("avail_qty")),
+        "stock")
+    on = RecommendationConfig(filter_out_of_stock=True)
+    kept = ranking.in_stock(materialize(recs, "recs"), stock, on)
+    assert kept.toArrow().num_rows == recs.where("item_id % 2 = 1").count()
+    assert "skew=true" in plan_of(kept)
+
+
+def test_hot_entity_keeps_only_its_top_rows_before_the_shuffle(spark):
+    found = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(1).cast("bigint").alias("customer_id"),
+        F.lit("A").alias("sales_org_id"), F.col("id").alias("item_id"),
+        (F.col("id") % 100).cast("double").alias("als_score_raw"))
+    recs = ranking.rank_cells(found, 200)
+    hot = recs.where("customer_id = 1").orderBy("als_score_rank").collect()
+    order = sorted((i for i in range(20_000) if i % 3 or i == 1), key=lambda i: (-(i % 100), i))
+    assert [r.item_id for r in hot] == order[:200]
+
+
+def test_hot_due_customer(spark):
+    stats = spark.range(5000).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).cast("bigint").alias("customer_id"),
+        F.col("id").alias("item_id"), F.lit(99.0).alias("days_since_last"),
+        F.lit(None).cast("double").alias("med_cycle_days"),
+        F.lit(None).cast("double").alias("avg_cycle_days"), F.lit("A").alias("sales_org_id"))
+    short = stats.select("customer_id", "sales_org_id").distinct()
+    picked = ranking.backfill_rows(short, stats, CONFIG)
+    own = sorted(r.item_id for r in picked.where("customer_id = 1").collect())
+    assert own == [0, 1, 2, 4, 6, 8, 10, 12, 14, 16]
+
+
+def test_hot_segment(spark):
+    """Nine tenths of the customers in one block, cut into many groups."""
+    rng = np.random.default_rng(1)
+    vectors = rng.standard_normal((1500, 5)).astype(np.float32)
+    block = ["hot" if i % 10 else f"b{i % 3}" for i in range(1500)]
+    df = spark.createDataFrame(
+        [(i, [float(x) for x in v], b) for i, (v, b) in enumerate(zip(vectors, block))],
+        "customer_id bigint, features array<float>, block string")
+    got = neighbors.closest_customers(df, 7, queries_per_group=64, partitions=16).toPandas()
+    unit = vectors.astype(float)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    score = unit @ unit.T
+    same = np.array(block)[:, None] == np.array(block)[None, :]
+    score[~same] = -np.inf
+    np.fill_diagonal(score, -np.inf)
+    want = np.argsort(-score, axis=1, kind="stable")[:, :7]
+    got = got.sort_values(["customer_id", "rank"])
+    assert len(got) == 1500 * 7
+    assert (got.id.to_numpy().reshape(1500, 7) == want).all()

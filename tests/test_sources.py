@@ -36,6 +36,22 @@ def test_tenants_are_found_by_upper_case_name():
     assert load_tenants("{}") == {}
 
 
+def test_server_fields_become_jdbc_options():
+    text = """{"tenants": {
+        "a": {"db_server": "h", "db_name": "d", "db_user": "u", "db_password": "p;x"},
+        "b": {"db_server": "h", "db_port": "99", "db_name": "d", "db_trusted_connection": true,
+              "db_encrypt": false}}}"""
+    tenants = load_tenants(text)
+    assert tenants["A"].jdbc == {
+        "url": "jdbc:sqlserver://h:1433", "databaseName": "d", "encrypt": "true",
+        "trustServerCertificate": "false", "user": "u", "password": "p;x",
+    }
+    assert tenants["B"].jdbc == {
+        "url": "jdbc:sqlserver://h:99", "databaseName": "d", "encrypt": "false",
+        "trustServerCertificate": "false", "integratedSecurity": "true",
+    }
+
+
 def test_secrets_are_not_shown():
     source = TenantSource("T", jdbc={"url": "jdbc:x", "password": "hidden"}, absent=frozenset({"a"}))
     assert "hidden" not in repr(source)
@@ -112,6 +128,14 @@ def test_block_attributes(spark):
         tables.block_attributes(raw, "planet")
 
 
+def test_config_from_environment():
+    env = {"ALS_REG": "0.3", "ALS_TOPK": "9", "ALS_K": "5", "WAREHOUSE_ID": " ", "HOME": "/x"}
+    orders, similar = RecommendationConfig.from_env(env), SimilarityConfig.from_env(env)
+    assert (orders.regularization, orders.topk, orders.factors) == (0.3, 9, 64)
+    assert orders.warehouse_id is None
+    assert (similar.regularization, similar.factors, similar.iterations) == (0.3, 5, 25)
+
+
 def test_config_from_options():
     config = RecommendationConfig.from_options(
         {"topk": "5", "filter_out_of_stock": " Yes ", "warehouse_id": "", "weight_alpha": "2"}
