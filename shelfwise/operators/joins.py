@@ -11,6 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
+# Rows of a few numbers each: about 100 MB as a broadcast table.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(keyed: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a written table of narrow rows for broadcast where its count allows it.
+
+    The large side then stays where it is, hot keys included. Beyond the bound the
+    planner shuffles both sides.
+    """
+    return F.broadcast(keyed) if keyed.count() <= most else keyed
 
 
 def salted_join(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfwise.config import RecommendationConfig
 from shelfwise.functions.keys import ENTITY, entity_key
 from shelfwise.functions.scores import bm25_weight
+from shelfwise.operators.joins import BROADCAST_ROWS, small_side
 from shelfwise.session import materialize
 
 ROW_BITS = 33  # monotonically_increasing_id: partition above, row within it below
@@ -64,14 +65,17 @@ def item_holders(found: DataFrame) -> DataFrame:
 
 
 def bm25(
-    found: DataFrame, config: RecommendationConfig, lengths: DataFrame | None = None,
+    found: DataFrame,
+    config: RecommendationConfig,
+    lengths: DataFrame | None = None,
     holders: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Reweighted cells, with whatever else the two side tables carry.
 
     ``found`` is read several times: pass a written table. The side tables are written
-    too, since adaptive execution can split a hot entity or item only when neither side
-    of the join is an aggregate on its key.
+    too. Counted, they are broadcast if small; otherwise adaptive execution can split a
+    hot entity or item, as neither side of the join is an aggregate on its key.
     """
     lengths = materialize(entity_lengths(found), "lengths") if lengths is None else lengths
     holders = materialize(item_holders(found), "holders") if holders is None else holders
@@ -88,8 +92,8 @@ def bm25(
         config.bm25_b,
     )
     return (
-        found.join(lengths, ENTITY)
-        .join(holders, "item_id")
+        found.join(small_side(lengths, broadcast_rows), ENTITY)
+        .join(small_side(holders, broadcast_rows), "item_id")
         .withColumn("weight", weighted)
         .drop("length", "holders")
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from shelfwise.config import RecommendationConfig, SimilarityConfig
 from shelfwise.functions.keys import ENTITY
 from shelfwise.operators import factors, matrix, neighbors, ranking
+from shelfwise.operators.joins import small_side
 from shelfwise.session import materialize, scratch_run
 from shelfwise.sinks import tables as sinks
 from shelfwise.sources import tables
@@ -126,8 +127,8 @@ def fit_customer_factors(
     )
     items = matrix.item_index(found.select("item_id").distinct())
     ratings = materialize(
-        found.join(customers, "customer_id")
-        .join(items, "item_id")
+        found.join(small_side(customers), "customer_id")
+        .join(small_side(items), "item_id")
         .select("user_idx", "item_idx", F.col("weight").cast("float").alias("rating")),
         "ratings",
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.operators.skew import salted_join
+from shelfwise.operators.joins import salted_join
 
 # Marks of progress lines, and of error lines on standard output.
 PROGRESS_MARKS = (

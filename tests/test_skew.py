@@ -35,11 +35,13 @@ def hot_interactions(spark):
     )
 
 
-def weighted(raw):
-    return matrix.bm25(materialize(matrix.cells(tables.interactions(raw, CONFIG)), "cells"), CONFIG)
+def weighted(raw, **tuning):
+    found = materialize(matrix.cells(tables.interactions(raw, CONFIG)), "cells")
+    return matrix.bm25(found, CONFIG, **tuning)
 
 
-def test_weights_with_a_hot_customer_and_a_hot_item(spark, skewed_joins):
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_weights_with_a_hot_customer_and_a_hot_item(spark, skewed_joins, most):
     raw = hot_interactions(spark)
     pdf = raw.toPandas()
     pdf["w"] = np.log1p(40 * pdf.weight)
@@ -49,18 +51,24 @@ def test_weights_with_a_hot_customer_and_a_hot_item(spark, skewed_joins):
     norm = 0.2 + 0.8 * cells.customer_id.map(length) / length.mean()
     idf = np.log(len(length)) - np.log1p(cells.item_id.map(holders))
     cells["want"] = cells.w * 101 / (100 * norm + cells.w) * idf
-    got = weighted(raw).toPandas()
+    got = weighted(raw, broadcast_rows=most).toPandas()
     both = cells.merge(got, on=["customer_id", "item_id"])
     assert len(both) == len(cells) == len(got)
     assert np.allclose(both.want, both.weight, atol=1e-9)
 
 
 def test_skewed_join_is_split(spark, skewed_joins):
-    scored = weighted(hot_interactions(spark))
+    scored = weighted(hot_interactions(spark), broadcast_rows=0)
     scored.toArrow()
     assert plan_of(scored).count("skew=true") >= 2
 
 
+def test_small_side_is_counted_before_it_is_broadcast(spark, skewed_joins):
+    raw = hot_interactions(spark)
+    assert "BroadcastHashJoin" not in plan_of(weighted(raw, broadcast_rows=0))
+    assert plan_of(weighted(raw)).count("BroadcastHashJoin") == 2
+
+
 def test_counts_with_a_hot_transaction(spark, skewed_joins):
     lines = spark.range(60_000).select(
         F.when(F.col("id") % 2 == 0, 3).otherwise(F.col("id") % 50).cast("bigint").alias("txn_id"),
@@ -85,7 +93,7 @@ def test_stock_filter_with_a_hot_item(spark, skewed_joins):
         spark.range(5000).select(F.col("id").alias("item_id"), (F.col("id") % 2).alias("avail_qty")),
         "stock")
     on = RecommendationConfig(filter_out_of_stock=True)
-    kept = ranking.in_stock(materialize(recs, "recs"), stock, on)
+    kept = ranking.in_stock(materialize(recs, "recs"), stock, on, broadcast_rows=0)
     assert kept.toArrow().num_rows == recs.where("item_id % 2 = 1").count()
     assert "skew=true" in plan_of(kept)
 
