@@ -16,6 +16,7 @@ from shelfwise.operators import factors, matrix, neighbors, ranking
 from shelfwise.operators.joins import small_side
 from shelfwise.session import materialize, scratch_run
 from shelfwise.sinks import tables as sinks
+from shelfwise.sinks.tables import Target
 from shelfwise.sources import tables
 from shelfwise.sources.tenants import TenantSource
 
@@ -195,7 +196,7 @@ def check_inputs(spark: SparkSession, source: TenantSource, names: list[str]) ->
 def run_order_recommendations(
     spark: SparkSession,
     source: TenantSource,
-    target: str,
+    target: Target,
     config: RecommendationConfig | None = None,
     dry_run: bool = False,
 ) -> bool:
@@ -206,14 +207,14 @@ def run_order_recommendations(
         return False
     with scratch_run(spark):
         recs = order_recommendations(spark, source, config)
-        sinks.replace_files(recs, f"{target}/user_rec_als")
+        target.replace(recs, "user_rec_als")
     return True
 
 
 def run_similar_customers(
     spark: SparkSession,
     source: TenantSource,
-    target: str,
+    target: Target,
     config: SimilarityConfig | None = None,
     dry_run: bool = False,
     as_of: datetime | None = None,
@@ -227,9 +228,9 @@ def run_similar_customers(
         found = similar_customers(spark, source, config, as_of)
         if found is None:
             return False
-        sinks.replace_files(found.factors_wide, f"{target}/als_customer_factors_wide")
+        target.replace(found.factors_wide, "als_customer_factors_wide")
         if found.neighbors is not None:
-            sinks.replace_files(found.neighbors, f"{target}/customer_neighbors_hybrid")
+            target.replace(found.neighbors, "customer_neighbors_hybrid")
     return True
 
 
@@ -240,7 +241,9 @@ JOBS: Mapping[str, Callable[..., bool]] = {
 ENABLED = frozenset(JOBS)
 
 
-def run_job(name: str, spark: SparkSession, source: TenantSource, target: str, **options) -> bool:
+def run_job(
+    name: str, spark: SparkSession, source: TenantSource, target: Target, **options
+) -> bool:
     """Run an enabled job; True when it wrote its tables."""
     if name not in JOBS:
         raise KeyError(f"unknown job {name!r}; known: {', '.join(sorted(JOBS))}")

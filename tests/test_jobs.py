@@ -9,6 +9,7 @@ import pytest
 from shelfwise.config import RecommendationConfig, SimilarityConfig
 from shelfwise.plans import jobs
 from shelfwise.session import scratch_path
+from shelfwise.sinks.tables import Target
 from shelfwise.sources.tenants import TenantSource
 
 NOW = datetime(2024, 6, 1)
@@ -53,7 +54,8 @@ def source(spark):
 
 def test_order_recommendations(spark, source):
     target = scratch_path(spark, "out")
-    assert jobs.run_job("customer_order_recommendation_als", spark, source, target, config=SMALL)
+    assert jobs.run_job(
+        "customer_order_recommendation_als", spark, source, Target(target), config=SMALL)
     recs = spark.read.parquet(f"{target}/user_rec_als").toPandas()
     entities = spark.read.parquet(f"{source.path}/vw_interactions").select(
         "customer_id", "sales_org_id").distinct().count()
@@ -69,8 +71,8 @@ def test_a_run_leaves_no_scratch_behind(spark, source):
     target = scratch_path(spark, "out")
     place = scratch_path(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
     before = {name for name in os.listdir(place) if name.startswith("run-")}
-    jobs.run_order_recommendations(spark, source, target, FEW)
-    jobs.run_similar_customers(spark, source, target, SIMILAR, as_of=NOW)
+    jobs.run_order_recommendations(spark, source, Target(target), FEW)
+    jobs.run_similar_customers(spark, source, Target(target), SIMILAR, as_of=NOW)
     assert {name for name in os.listdir(place) if name.startswith("run-")} == before
 
 
@@ -105,7 +107,8 @@ def test_no_usable_interactions_is_an_error(spark, source):
 
 def test_similar_customers(spark, source):
     target = scratch_path(spark, "out")
-    assert jobs.run_job("similar_customers", spark, source, target, config=SIMILAR, as_of=NOW)
+    assert jobs.run_job(
+        "similar_customers", spark, source, Target(target), config=SIMILAR, as_of=NOW)
     wide = spark.read.parquet(f"{target}/als_customer_factors_wide")
     assert wide.columns == ["customer_id", "l2_norm", "f1", "f2", "f3", "f4"]
     near = spark.read.parquet(f"{target}/customer_neighbors_hybrid").toPandas()
@@ -129,6 +132,19 @@ def test_without_attributes_all_customers_are_one_block(spark, source):
     assert (near.customer_id % 3 != near.neighbor_id % 3).any()
 
 
+def test_catalog_target(spark, source):
+    spark.sql(f"CREATE SCHEMA job_out LOCATION '{scratch_path(spark, 'schema')}'")
+    try:
+        for _ in range(2):
+            assert jobs.run_similar_customers(
+                spark, source, Target(schema="job_out"), SIMILAR, as_of=NOW)
+        assert sorted(t.name for t in spark.catalog.listTables("job_out")) == [
+            "als_customer_factors_wide", "customer_neighbors_hybrid"]
+        assert not spark.table("job_out.customer_neighbors_hybrid").isEmpty()
+    finally:
+        spark.sql("DROP SCHEMA job_out CASCADE")
+
+
 def test_no_neighbours_wanted(spark, source):
     config = SimilarityConfig(factors=4, iterations=2, write_neighbors=False)
     assert jobs.similar_customers(spark, source, config, NOW).neighbors is None
@@ -136,25 +152,25 @@ def test_no_neighbours_wanted(spark, source):
 
 def test_no_transactions_keeps_the_last_output(spark, source):
     target = scratch_path(spark, "out")
-    jobs.run_similar_customers(spark, source, target, SIMILAR, as_of=NOW)
+    jobs.run_similar_customers(spark, source, Target(target), SIMILAR, as_of=NOW)
     before = spark.read.parquet(f"{target}/als_customer_factors_wide").count()
     late = NOW + timedelta(days=5000)
-    assert not jobs.run_similar_customers(spark, source, target, SIMILAR, as_of=late)
+    assert not jobs.run_similar_customers(spark, source, Target(target), SIMILAR, as_of=late)
     assert spark.read.parquet(f"{target}/als_customer_factors_wide").count() == before > 0
 
 
 @pytest.mark.parametrize("name", sorted(jobs.JOBS))
 def test_dry_run_checks_and_writes_nothing(spark, source, name):
     target = scratch_path(spark, "dry")
-    assert not jobs.run_job(name, spark, source, target, dry_run=True)
+    assert not jobs.run_job(name, spark, source, Target(target), dry_run=True)
     assert TenantSource("D", path=target).optional_table(spark, "user_rec_als") is None
     path = scratch_path(spark, "odd")
     for table in jobs.INPUTS:
         spark.range(1).write.parquet(f"{path}/{table}")
     with pytest.raises(ValueError, match="lacks the columns"):
-        jobs.run_job(name, spark, TenantSource("O", path=path), target, dry_run=True)
+        jobs.run_job(name, spark, TenantSource("O", path=path), Target(target), dry_run=True)
 
 
 def test_unknown_job(spark, source):
     with pytest.raises(KeyError):
-        jobs.run_job("nothing", spark, source, "x")
+        jobs.run_job("nothing", spark, source, Target("x"))

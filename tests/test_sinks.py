@@ -15,7 +15,7 @@ SCHEMA = (
 ROWS = [
     (1, 10, 0.5, 1.0, 1, "als", "A"),
     (1, 11, -0.1234567, 0.05, 999, "backfill", None),
-    (2, 12, 1e-9, 0.3333335, 2, "als", 'a|b "c"'),
+    (2, 12, 1e-9, 0.3333333, 2, "als", 'a|b "c"'),
     (3, 13, 0.0, 0.0, 3, "als", ""),
 ]
 
@@ -85,7 +85,7 @@ def test_pipe_files(spark, recs):
     assert text.splitlines() == [
         "1|10|0.500000|1.000000|1|als|A",
         "1|11|-0.123457|0.050000|999|backfill|-1",
-        '2|12|0.000000|0.333334|2|als|"a|b ""c"""',
+        '2|12|0.000000|0.333333|2|als|"a|b ""c"""',
         "3|13|0.000000|0.000000|3|als|",
     ]
     schema = ", ".join(f"{c} string" for c in ranking.COLUMNS)
@@ -93,6 +93,21 @@ def test_pipe_files(spark, recs):
     assert back[0].sales_org_id == 'a|b "c"'
 
 
+def test_six_decimals(spark):
+    values = [0.9765625, 0.0078125, -0.9765625, 3 / 128, 0.5, -1e-9, 1 / 3, 2.5, 1e-7, 0.0, 123456.789012]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
+    got = [r[0] for r in df.select(sinks.six_decimals(df.v)).collect()]
+    assert got == ["%.6f" % v for v in values] + [None]
+
+
+def test_target_is_one_place():
+    with pytest.raises(ValueError):
+        sinks.Target()
+    with pytest.raises(ValueError):
+        sinks.Target(path="a", schema="b")
+    assert "secret" not in repr(sinks.Target(jdbc={"password": "secret"}))
+
+
 def test_jdbc_writer_options():
     base = {"url": "jdbc:x", "user": "u"}
     options = sinks.jdbc_writer_options(base, "t", batch_size=10, connections=3)
