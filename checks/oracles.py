@@ -184,8 +184,10 @@ closest AS (
 
 CLOSEST_COLUMNS = "customer_id, neighbor_id, round(score, 6) AS sim_als, rank"
 
-TOP_ITEMS = ("WITH " + LINES + "," + ITEM_VECTORS + "," + tastes("customer_id, sales_org_id") + ","
-             + UNITS + f""",
+
+def top_items(k: int) -> str:
+    return ("WITH " + LINES + "," + ITEM_VECTORS + "," + tastes("customer_id, sales_org_id") + ","
+            + UNITS + f""",
 item_units AS (
   SELECT item_id, CAST(list_transform(features, lambda x: x / greatest(
            sqrt(list_sum(list_transform(features, lambda y: y * y))), 1e-12)) AS DOUBLE[{WIDTH}])
@@ -202,9 +204,10 @@ top AS (
       SELECT customer_id, sales_org_id, item_id,
              array_inner_product(u.unit, i.unit) AS score
       FROM units u, item_units i))
-  WHERE als_score_rank <= 20
+  WHERE als_score_rank <= {k}
 )""")
 
+
 RUNS = """
 runs AS (
   SELECT 'job-' || event_id AS job_id, 'T' || (user_id % 3) AS tenant, event_type AS training_type,
@@ -301,7 +304,7 @@ ORACLES: dict[str, str] = {
         SELECT customer_id, CAST(pos AS INTEGER) AS pos, round(x, 6) AS x FROM (
           SELECT customer_id, unnest(range({WIDTH})) AS pos, unnest(unit::DOUBLE[]) AS x
           FROM units)""",
-    "topk_items": TOP_ITEMS + """
+    "topk_items": top_items(20) + """
         SELECT customer_id, sales_org_id, item_id, round(als_score_raw, 6) AS als_score_raw,
                als_score_rank, source FROM top""",
     "knn_block": "WITH " + VECTORS + "," + UNITS + "," + closest(10) + f"""
@@ -349,7 +352,20 @@ ORACLES: dict[str, str] = {
                   FROM cells))
           WHERE als_score_rank <= 200),""" + norm("edge") + f"""
         SELECT {NORMED_COLUMNS} FROM normed""",
-    "score_norm_lists": TOP_ITEMS + "," + norm("top") + f" SELECT {NORMED_COLUMNS} FROM normed",
+    "score_norm_lists": top_items(20) + "," + norm("top") + f" SELECT {NORMED_COLUMNS} FROM normed",
+    "recommend_from_vectors": top_items(8) + "," + STATS + """,
+        recs AS (
+          SELECT * FROM top
+          UNION ALL
+          SELECT customer_id, sales_org_id, item_id, 0.0::DOUBLE, 999, 'backfill' FROM (
+            SELECT *, row_number() OVER (PARTITION BY customer_id, sales_org_id
+                                         ORDER BY item_id) AS place FROM due)
+          WHERE place <= 10),""" + norm("recs") + ", stock AS (" + STOCK + """
+          WHERE l_suppkey % 10 = 3 GROUP BY l_partkey)
+        SELECT customer_id, item_id, round(als_score_raw, 6) AS als_score_raw,
+               round(als_score_mm, 6) AS als_score_mm, als_score_rank::DOUBLE AS als_score_rank,
+               source, sales_org_id
+        FROM normed LEFT JOIN stock USING (item_id) WHERE coalesce(avail_qty, 0) >= 1""",
     "due_items": "WITH " + LINES + "," + STATS + " SELECT * FROM due",
     "backfill": "WITH " + BACKFILLED + """
         SELECT customer_id, sales_org_id, item_id, round(als_score_raw, 6) AS als_score_raw,

@@ -325,6 +325,16 @@ def recs_in_stock(t: Tables) -> DataFrame:
     return rounded(ranking.in_stock(recs, stock, WAREHOUSE), "als_score_raw", "als_score_mm")
 
 
+@query("recommend_from_vectors")
+def recommend_from_vectors(t: Tables) -> DataFrame:
+    """All that follows a fit: short lists, so every one is backfilled, then the stock filter."""
+    config = RecommendationConfig(topk=8, filter_out_of_stock=True, warehouse_id=3)
+    fitted = jobs.OrderFactors(_tastes(t, ENTITY), materialize(t.item_vectors(), "items"))
+    stock = materialize(tables.inventory(t.inventory(), config), "stock")
+    recs = jobs.recommend(fitted, tables.reorder_stats(t.reorder_stats()), stock, config)
+    return rounded(recs, "als_score_raw", "als_score_mm")
+
+
 # ---- sinks: written, read back ----------------------------------------------
 
 

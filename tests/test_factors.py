@@ -45,6 +45,14 @@ def test_users_solve_their_normal_equations(ratings):
         assert np.abs(left @ users[user] - right).max() < 1e-4
 
 
+@pytest.mark.parametrize("ratings_, cores, blocks", [
+    (0, 8, 1), (6_000, 8, 2), (600_000, 8, 8), (10**9, 8000, 8000), (10**11, 8000, 8000),
+    (10**12, 8000, 50_000), (10**9, 8, 50),
+])
+def test_block_count(ratings_, cores, blocks):
+    assert factors.block_count(ratings_, cores) == blocks
+
+
 def test_a_seed_fixes_the_factors(ratings):
     first, second = matrix_of(fit(ratings).userFactors), matrix_of(fit(ratings).userFactors)
     assert all(np.array_equal(first[k], second[k]) for k in first)

@@ -54,3 +54,10 @@ def test_list_scores_need_no_shuffle_after_the_search(spark):
     plan = plan_of(QUERIES["score_norm_lists"](spark, SF))
     head = plan[:plan.index("MapInArrow")]
     assert "Exchange" not in head and "Window" not in head
+
+
+def test_candidates_are_spread_before_they_are_repeated(spark):
+    """However few files hold the candidates, every task repeats a share of them."""
+    plan = plan_of(QUERIES["topk_items"](spark, SF))
+    repeated = plan[plan.index("Generate explode(sequence"):]
+    assert "REPARTITION_BY_NUM" in repeated[:repeated.index("FileScan")]
