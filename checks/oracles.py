@@ -235,7 +235,6 @@ log AS (
   FROM events
 )"""
 
-WIDE_COLUMNS = ", ".join(f"features[{j}] AS f{j}" for j in range(1, WIDTH + 1))
 NORM = "sqrt(list_sum(list_transform(features, lambda x: x * x)))"
 
 
@@ -323,6 +322,11 @@ ORACLES: dict[str, str] = {
         vectors AS (SELECT plain.*, region_id AS block
                     FROM plain JOIN attributes USING (customer_id)),""" + UNITS + ","
         + closest(10) + f" SELECT {CLOSEST_COLUMNS} FROM closest",
+    "knn_scope_channel": "WITH " + LINES + "," + ITEM_VECTORS + "," + tastes("customer_id")
+        .replace("vectors AS (SELECT", "plain AS (SELECT") + "," + ATTRIBUTES + """,
+        vectors AS (SELECT plain.*, channel_id AS block
+                    FROM plain JOIN attributes USING (customer_id)),""" + UNITS + ","
+        + closest(10) + f" SELECT {CLOSEST_COLUMNS} FROM closest",
     "similar_customers_rows": "WITH " + LINES + "," + ITEM_VECTORS + "," + tastes("customer_id")
         .replace("vectors AS (SELECT", "plain AS (SELECT") + "," + ATTRIBUTES + """,
         vectors AS (SELECT plain.*, segment_id AS block

@@ -15,7 +15,6 @@ from shelfwise.config import RecommendationConfig, SimilarityConfig
 from shelfwise.functions.keys import ENTITY, entity_key, key_customer, key_org, sales_org
 from shelfwise.functions.vectors import l2_norm, l2_unit
 from shelfwise.operators import matrix, neighbors, ranking
-from shelfwise.operators.nearest import match_rows
 from shelfwise.plans import jobs, runs
 from shelfwise.session import materialize, scratch_path
 from shelfwise.sinks import tables as sinks
@@ -66,7 +65,8 @@ def interactions_dirty(t: Tables) -> DataFrame:
 
 @query("policy")
 def policy(t: Tables) -> DataFrame:
-    return tables.policy(t.segments()).withColumn("allow_repeats", F.col("allow_repeats").cast("int"))
+    found = tables.policy(t.segments())
+    return found.withColumn("allow_repeats", F.col("allow_repeats").cast("int"))
 
 
 @query("policy_default")
@@ -244,6 +244,11 @@ def knn_scope_region(t: Tables) -> DataFrame:
     return _closest(neighbors.closest_customers(_blocked(t, "region"), 10))
 
 
+@query("knn_scope_channel")
+def knn_scope_channel(t: Tables) -> DataFrame:
+    return _closest(neighbors.closest_customers(_blocked(t, "channel"), 10))
+
+
 @query("similar_customers_rows")
 def similar_customers_rows(t: Tables) -> DataFrame:
     rows = neighbors.neighbor_rows(_blocked(t, "segment"), SIMILAR)
