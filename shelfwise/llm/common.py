@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from shelfwise.session import scratch_path
+
 # Rows between two looks at the input, so that a batch of long texts stays small.
 ROWS = 2000
 
@@ -38,3 +40,10 @@ def arrow_schema(ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Like ``materialize``, in a denser codec for tables that hold texts."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
-    decontaminate, lines, pieces, quality, rules, sharding, token_counts, urls,
+    decontaminate, lines, pieces, quality, rules, sharding, substring, token_counts, urls,
 )
 from shelfwise.llm.common import table
 
@@ -28,6 +28,11 @@ def content(name: str) -> bytes:
         return file.read()
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.deduplicated(table(spark, folder, "documents")).drop("removed")
+
+
 @query
 def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -83,6 +88,29 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.digest(table(spark, folder, "documents"))
 
 
+ORACLES["op1_substring_dedup"] = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+g AS (
+  SELECT rid, doc_id, i, md5(array_to_string(words[i : i + 49], ' ')) AS gram
+  FROM (SELECT *, unnest(generate_series(1, len(words) - 49)) AS i FROM w WHERE len(words) >= 50)),
+m AS (SELECT gram, min(doc_id) AS least FROM g GROUP BY gram HAVING min(doc_id) < max(doc_id)),
+hit AS (
+  SELECT rid, list(DISTINCT k) AS gone
+  FROM (SELECT rid, unnest(generate_series(i, i + 49)) AS k
+        FROM g JOIN m USING (gram) WHERE least < doc_id)
+  GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(CASE WHEN gone IS NULL THEN array_to_string(words, ' ') ELSE array_to_string(
+    list_filter(list_transform(generate_series(1, len(words)),
+      lambda k: CASE WHEN list_contains(gone, k) THEN NULL ELSE words[k] END),
+      lambda x: x IS NOT NULL), ' ') END) AS kept_sha256
+FROM w LEFT JOIN hit USING (rid)
+"""
+
 ORACLES["op5_decontaminate"] = r"""
 WITH w AS (
   SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(
