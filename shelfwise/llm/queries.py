@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
-    decontaminate, lines, pieces, quality, rules, sharding, substring, token_counts, urls,
+    decontaminate, lines, near, pieces, quality, rules, sharding, substring, token_counts, urls,
 )
 from shelfwise.llm.common import table
 
@@ -33,6 +33,11 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring.deduplicated(table(spark, folder, "documents")).drop("removed")
 
 
+@query
+def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near.labelled(table(spark, folder, "documents"))
+
+
 @query
 def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -111,6 +116,32 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
 FROM w LEFT JOIN hit USING (rid)
 """
 
+ORACLES["op2_near_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 2 THEN words[1] ELSE words[i] || ' ' || words[i + 1] END AS shingle
+  FROM (SELECT *, unnest(generate_series(1, greatest(len(words) - 1, 1))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * common >= 80 * (x.n + y.n - common)),
+reach(id, root) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT link.b, reach.root FROM reach JOIN link ON link.a = reach.id WHERE reach.root < link.b)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, r.root AS component_id,
+  d.doc_id = r.root AS kept
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT id, min(root) AS root FROM reach GROUP BY id) r ON r.id = d.doc_id
+"""
+
 ORACLES["op5_decontaminate"] = r"""
 WITH w AS (
   SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(
