@@ -8,10 +8,10 @@ the XOR of two sketches estimates their similarity, precisely where it is high,
 that fall clearly short go no further. All others are compared on their full sets.
 
 Classes are linked in two rounds, so that a large group of near copies needs no comparison of all
-its pairs. First every class of a band meets the least one of that band, and linked classes form
-components. Then classes of one band but of different components meet each other. A pair of one
-component is never compared, and a pair of two components always is: no link that could join two
-components is lost.
+its pairs. First every class meets two hubs, a hub being the least class of a band: the one with
+which it shares most bands and the least of all. Linked classes form components. Then classes of
+one band but of different components meet each other. A pair of one component is never compared,
+and a pair of two components always is: no link that could join two components is lost.
 
 A band on very many classes is split: its largest component is dealt into blocks that each meet
 all other members, and the others meet each other in blocks.
@@ -36,11 +36,12 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import words as w
 from shelfwise.llm.common import arrow_map, arrow_schema, stored
+from shelfwise.operators.joins import small_side
 
 BANDS, ROWS = 40, 5
 SKETCH_WORDS = 16  # of 64 bits
 BITS = 64 * SKETCH_WORDS
-BLOCK = 1000  # classes of a band that meet in one task at a time
+BLOCK = 500  # classes of a band that meet in one task at a time
 SLACK = 0.2  # the sketch drops candidates this far below the threshold
 CLASS = ["_s1", "_s2"]
 
@@ -123,44 +124,39 @@ def most_differing(threshold: float) -> int:
     return int(np.floor(BITS / 2 * (1 - np.exp(-4 * samples * (1 - threshold) / BITS))))
 
 
-def classes(documents: DataFrame, size: int) -> DataFrame:
-    """Per document: the size and the names of its set."""
-    schema = "_id long, n_shingles long, _s1 long, _s2 long"
+def scanned(documents: DataFrame, size: int) -> DataFrame:
+    """Per document: the size and the names of its set, its band keys, and its odd sketch followed
+    by 32 bits of each band key. Empty sets have neither."""
+    schema = "_id long, n_shingles long, _s1 long, _s2 long, keys array<long>, sketch binary"
     out = arrow_schema(schema)
 
     def run(batch: pa.RecordBatch):
         for row, texts in w.slices(batch.column(1), lower=True):
             sets = Shingles(texts, size)
             names = sets.names()
+            full = np.flatnonzero(sets.sizes)
+            keys, sketches = [None] * len(texts), [None] * len(texts)
+            if len(full):
+                samples = signatures(sets.codes, np.append(sets.bounds[full], len(sets.codes)))
+                found = band_keys(samples)
+                digests = (found >> 32).astype(np.uint32)
+                carried = np.concatenate([odd_sketches(samples).view(np.uint32), digests], axis=1)
+                for at, key, sketch in zip(full.tolist(), found, carried):
+                    keys[at], sketches[at] = key, sketch.tobytes()
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(row, len(texts)), pa.array(sets.sizes, pa.int64()),
                 pa.array(names[0]), pa.array(names[1]),
+                pa.array(keys, out.field("keys").type), pa.array(sketches, pa.binary()),
             ], schema=out)
 
     return arrow_map(documents, run, schema)
 
 
-def sampled(documents: DataFrame, size: int) -> DataFrame:
-    """Per document: band keys and odd sketch."""
-    schema = "_rep long, keys array<long>, sketch binary"
-    out = arrow_schema(schema)
-
-    def run(batch: pa.RecordBatch):
-        for row, texts in w.slices(batch.column(1), lower=True):
-            sets = Shingles(texts, size)
-            full = np.flatnonzero(sets.sizes)
-            if not len(full):
-                continue
-            bounds = np.append(sets.bounds[full], len(sets.codes))
-            samples = signatures(sets.codes, bounds)
-            sketches = odd_sketches(samples)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(row, len(texts)).take(pa.array(full)),
-                pa.array(list(band_keys(samples)), out.field("keys").type),
-                pa.array([x.tobytes() for x in sketches], pa.binary()),
-            ], schema=out)
-
-    return arrow_map(documents, run, schema)
+def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Sketches and band digests."""
+    data = np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, 2 * SKETCH_WORDS + BANDS)
+    sketches = np.ascontiguousarray(data[:, : 2 * SKETCH_WORDS]).view(np.uint64)
+    return sketches, data[:, 2 * SKETCH_WORDS :]
 
 
 def likely(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -169,10 +165,7 @@ def likely(pairs: DataFrame, threshold: float) -> DataFrame:
     out = arrow_schema("_a long, _b long")
 
     def run(batch: pa.RecordBatch):
-        left, right = (
-            np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
-            for i in (2, 3)
-        )
+        left, right = (unpacked(batch.column(i))[0] for i in (2, 3))
         differ = np.bitwise_count(left ^ right).sum(axis=1)
         found = batch.select([0, 1]).filter(pa.array(differ <= most))
         yield pa.RecordBatch.from_arrays(found.columns, schema=out)
@@ -216,6 +209,50 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return both.mapInArrow(run, "_a long, _b long")
 
 
+def confirmed_in_cells(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs of each cell whose full sets are similar; each text goes once to each cell."""
+    rows = members.join(texts, "_rep").select("_cell", "_rep", "_partners", "text")
+    out = arrow_schema("_a long, _b long")
+
+    def linked(ids: list[int], partners: list[list[int]], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        places: dict[int, list[int]] = {}
+        for at, name in enumerate(ids):
+            places.setdefault(name, []).append(at)
+        good = []
+        for at, others in enumerate(partners):
+            a = sets[at]
+            for b, name in ((sets[i], name) for name in others for i in places[name]):
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                if 100 * common >= percent * (len(a) + len(b) - common):
+                    good.append((ids[at], name))
+        return good
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, ids, partners, sets = None, [], [], []
+        for batch in chain_last(batches):
+            good = []
+            if batch is None:
+                good = linked(ids, partners, sets)
+            else:
+                cells, names = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                others = batch.column(2).to_pylist()
+                for row, texts in w.slices(batch.column(3), lower=True):
+                    found = Shingles(texts, size)
+                    for i in range(len(texts)):
+                        if cells[row + i] != cell:
+                            good += linked(ids, partners, sets)
+                            cell, ids, partners, sets = cells[row + i], [], [], []
+                        ids.append(names[row + i])
+                        partners.append(others[row + i])
+                        sets.append(found.codes[found.bounds[i] : found.bounds[i + 1]].copy())
+            a, b = zip(*good) if good else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=out)
+
+    parts = max(8, -(-members.count() // 4000))
+    spread = rows.repartition(parts, "_cell").sortWithinPartitions("_cell")
+    return spread.mapInArrow(run, "_a long, _b long").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``_id`` and the least id that its links reach, for every id that has links.
 
@@ -254,9 +291,12 @@ def with_roots(ids: DataFrame, column: str, roots: DataFrame) -> DataFrame:
 
 
 def met_across(places: DataFrame, sketches: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
-    """Likely pairs of one band and different components.
+    """Likely pairs of one band and different components, each in the first band that it shares.
+
+    A row per cell and class: the classes of that cell with which it is to be compared. Classes
+    that are only named by others have a row without any.
 
-    ``places`` has one row per band key and class. The largest component of a key is dealt into
+    ``places`` has one row per band and class. The largest component of a band key is dealt into
     blocks; the other members meet every block, and each other block by block.
     """
     rooted = stored(with_roots(places, "_rep", roots), "rooted")
@@ -292,14 +332,15 @@ def met_across(places: DataFrame, sketches: DataFrame, roots: DataFrame, thresho
         )),
     ))
     dealt = rows.withColumn("_block", block).withColumn("_cell", F.explode(cells)).select(
-        "_key", "_cell.i", "_cell.j", "_rep", "_root", "_block", "sketch"
+        "_key", "_band", "_cell.i", "_cell.j", "_rep", "_root", "_block", "sketch"
     )
     most = most_differing(threshold - SLACK)
-    out = arrow_schema("_a long, _b long")
+    schema = "_cell long, _rep long, _partners array<long>"
+    out = arrow_schema(schema)
 
-    def compare(rep, root, block, sketch) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of one cell: members of its two blocks, or within its one block."""
-        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    def compare(band, root, block, sketch, digest) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the pairs of one cell: members of its two blocks, or within its one block."""
+        found = [np.zeros((2, 0), np.int64)]
         left = block == block.min()
         mine = np.flatnonzero(left)
         theirs = np.flatnonzero(~left) if not left.all() else mine
@@ -307,10 +348,13 @@ def met_across(places: DataFrame, sketches: DataFrame, roots: DataFrame, thresho
             rows = mine[at : at + 64]
             differ = np.bitwise_count(sketch[rows, None, :] ^ sketch[None, theirs, :]).sum(axis=2, dtype=np.int32)
             good = (differ <= most) & (root[rows, None] != root[None, theirs])
+            if theirs is mine:
+                good &= rows[:, None] < theirs[None, :]
             i, j = np.nonzero(good)
-            a = np.append(a, rep[rows[i]])
-            b = np.append(b, rep[theirs[j]])
-        return np.minimum(a, b), np.maximum(a, b)
+            i, j = rows[i], theirs[j]
+            earlier = (digest[i, :band] == digest[j, :band]).any(axis=1)
+            found.append(np.array([i[~earlier], j[~earlier]]))
+        return np.concatenate(found, axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -330,25 +374,41 @@ def met_across(places: DataFrame, sketches: DataFrame, roots: DataFrame, thresho
                 edges = np.append(edges, len(rows))
             if not len(edges):
                 continue
-            rep, root, block = (rows[name].to_numpy() for name in ("_rep", "_root", "_block"))
-            sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint64).reshape(-1, SKETCH_WORDS)
+            rep, root, block, bands = (
+                rows[name].to_numpy() for name in ("_rep", "_root", "_block", "_band")
+            )
+            sketch, digest = unpacked(rows["sketch"].combine_chunks())
             heads = np.append(0, edges[:-1])
             two = heads[edges - heads == 2]
             near = np.bitwise_count(sketch[two] ^ sketch[two + 1]).sum(axis=1) <= most
             two = two[near & (root[two] != root[two + 1])]
-            pairs = [np.sort(np.array([rep[two], rep[two + 1]]), axis=0)]
-            for a, b in zip(heads, edges):
-                if b - a > 2:
-                    found = compare(rep[a:b], root[a:b], block[a:b], sketch[a:b])
-                    pairs.append(np.unique(np.array(found), axis=1))
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, np.concatenate(pairs, axis=1))), schema=out)
+            same = digest[two] == digest[two + 1]
+            same &= np.arange(BANDS) < bands[two, None]
+            two = two[~same.any(axis=1)]
+            pairs = [np.array([two, two + 1])]
+            for a, b in zip(heads[edges - heads > 2], edges[edges - heads > 2]):
+                part = slice(a, b)
+                pairs.append(a + compare(bands[a], root[part], block[part], sketch[part], digest[part]))
+            left, right = np.concatenate(pairs, axis=1)
+            order = np.argsort(left, kind="stable")
+            left, right = left[order], right[order]
+            members = np.unique(np.concatenate([left, right]))
+            ends = np.searchsorted(left, np.append(members, len(rows)))
+            partners = pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.array(rep[right], pa.int64())
+            )
+            yield pa.RecordBatch.from_arrays([
+                rows["_cell"].combine_chunks().take(pa.array(members)), pa.array(rep[members]),
+                partners.cast(out.field("_partners").type),
+            ], schema=out)
             rest = rows.slice(edges[-1])
             waiting = rest.take(pa.array(np.arange(len(rest)))).to_batches()
 
     total = keys.agg(F.sum(F.col("_all") * (F.col("_others") + 1))).head()[0] or 0
     parts = max(8, -(-total // 200_000))
+    dealt = dealt.withColumn("_cell", F.xxhash64("_key", "i", "j"))
     spread = dealt.repartition(parts, "_key", "i", "j").sortWithinPartitions("_key", "i", "j")
-    return spread.mapInArrow(run, "_a long, _b long").distinct()
+    return spread.mapInArrow(run, schema)
 
 
 def chain_last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -360,31 +420,35 @@ def groups(documents: DataFrame, size: int = 2, percent: int = 80, id_column: st
     """One row per document: ``_id``, ``n_shingles`` and ``_root``, the least id of its component."""
     threshold = percent / 100
     rows = documents.select(F.col(id_column).cast("long").alias("_id"), "text")
-    sets = stored(classes(rows, size), "sets")
+    sets = stored(scanned(rows, size), "sets")
     named = sets.filter(F.col("_id").isNotNull() & (F.col("n_shingles") > 0))
     reps = stored(named.groupBy(*CLASS).agg(F.min("_id").alias("_rep")), "classes")
-    # One text for each class: that of its least id.
-    own = reps.select("_rep").distinct()
-    chosen = rows.join(own.withColumnRenamed("_rep", "_id"), "_id", "left_semi")
-    samples = stored(sampled(chosen.select("_id", "text"), size), "samples")
-    places = samples.select("_rep", F.explode("keys").alias("_key"))
-    met = places.groupBy("_key").agg(F.min("_rep").alias("_hub"), F.max("_rep").alias("_last"))
-    met = stored(met.filter("_hub < _last").select("_key", "_hub"), "met")
-    places = stored(places.join(met, "_key"), "places")
+    own = named.join(reps, CLASS).filter("_id = _rep").select("_rep", "keys", "sketch")
+    samples = stored(own, "samples")
     sketches = samples.select("_rep", "sketch")
-    # First round: every class and the least one of its band.
-    stars = places.filter("_rep != _hub").select(F.col("_hub").alias("_a"), F.col("_rep").alias("_b")).distinct()
+    places = samples.select("_rep", F.posexplode("keys").alias("_band", "_key"))
+    met = places.groupBy("_key").agg(
+        F.min("_rep").alias("_hub"), F.max("_rep").alias("_last"), F.count(F.lit(1)).alias("_n")
+    )
+    met = stored(met.filter("_hub < _last").drop("_last"), "met")
+    places = stored(places.join(met, "_key"), "places")
+    wanted = stored(places.select(F.col("_rep").alias("_id")).distinct(), "wanted")
+    texts = rows.join(small_side(wanted), "_id", "left_semi")
+    texts = stored(texts.select(F.col("_id").alias("_rep"), "text"), "texts")
+    # First round: every class meets the hub with which it shares most bands, and the least one.
+    hubs = places.filter("_rep != _hub").groupBy("_rep", "_hub").agg(F.count(F.lit(1)).alias("_n"))
+    stars = hubs.groupBy("_rep").agg(
+        F.array_distinct(F.array(F.max_by("_hub", F.struct("_n", -F.col("_hub"))), F.min("_hub"))).alias("_hubs")
+    ).select(F.explode("_hubs").alias("_a"), F.col("_rep").alias("_b"))
     left = sketches.select(F.col("_rep").alias("_a"), F.col("sketch").alias("_left"))
     right = sketches.select(F.col("_rep").alias("_b"), F.col("sketch").alias("_right"))
     stars = stars.join(left, "_a").join(right, "_b").select("_a", "_b", "_left", "_right")
     stars = stored(likely(stars, threshold), "stars")
-    met_ids = stars.select(F.col("_a").alias("_rep")).unionByName(stars.select(F.col("_b").alias("_rep"))).distinct()
-    first = stored(confirmed(stars, texts_of(rows, met_ids), size, percent), "first")
+    first = stored(confirmed(stars, texts, size, percent), "first")
     roots = components(first)
     # Second round: members of one band that are not yet in one component.
-    across = stored(met_across(places.select("_key", "_rep"), sketches, roots, threshold), "across")
-    met_ids = across.select(F.col("_a").alias("_rep")).unionByName(across.select(F.col("_b").alias("_rep"))).distinct()
-    second = stored(confirmed(across, texts_of(rows, met_ids), size, percent), "second")
+    across = stored(met_across(places.select("_key", "_band", "_rep"), sketches, roots, threshold), "across")
+    second = stored(confirmed_in_cells(across, texts, size, percent), "second")
     # Last, all members of a class join the id that stood for it.
     members = named.join(reps, CLASS).filter("_id != _rep").select(F.col("_id").alias("_a"), F.col("_rep").alias("_b"))
     links = roots.select(F.col("_id").alias("_a"), F.col("_root").alias("_b")).unionByName(second)
@@ -392,12 +456,6 @@ def groups(documents: DataFrame, size: int = 2, percent: int = 80, id_column: st
     return with_roots(sets.select("_id", "n_shingles"), "_id", roots)
 
 
-def texts_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The texts of the wanted ids, written: both sides of the pairs read them."""
-    found = rows.join(wanted.withColumnRenamed("_rep", "_id"), "_id", "left_semi")
-    return stored(found.select(F.col("_id").alias("_rep"), "text"), "texts")
-
-
 def labelled(documents: DataFrame, size: int = 2, percent: int = 80, id_column: str = "doc_id") -> DataFrame:
     """One row per document: set size, component, and whether it is the one that stays."""
     kind = documents.schema[id_column].dataType
