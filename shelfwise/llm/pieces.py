@@ -33,8 +33,8 @@ MARK = "▁"
 # Values fixed by the model format.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-# Parts that a worker remembers before it starts anew; about 150 MB.
-REMEMBERED = 1_000_000
+# Parts that a worker remembers before it starts anew; about 60 MB.
+REMEMBERED = 250_000
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:

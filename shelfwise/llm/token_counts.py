@@ -30,8 +30,8 @@ AGREED = [
     (0xAC00, 0xFFFF), (0x1F000, 0x1FAFF), (0x20000, 0x2B739),
 ]
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Merged pre-tokens that a worker remembers before it starts anew; about 150 MB.
-REMEMBERED = 1_000_000
+# Merged pre-tokens that a worker remembers before it starts anew; about 60 MB.
+REMEMBERED = 250_000
 
 
 def byte_letters() -> list[str]:
