@@ -303,13 +303,13 @@ ORACLES: dict[str, str] = {
         SELECT customer_id, CAST(pos AS INTEGER) AS pos, round(x, 6) AS x FROM (
           SELECT customer_id, unnest(range({WIDTH})) AS pos, unnest(unit::DOUBLE[]) AS x
           FROM units)""",
-    "topk_items": top_items(20) + """
+    "topk_items": top_items(200) + """
         SELECT customer_id, sales_org_id, item_id, round(als_score_raw, 6) AS als_score_raw,
                als_score_rank, source FROM top""",
-    "knn_block": "WITH " + VECTORS + "," + UNITS + "," + closest(10) + f"""
+    "knn_block": "WITH " + VECTORS + "," + UNITS + "," + closest(100) + f"""
         SELECT {CLOSEST_COLUMNS} FROM closest""",
     "knn_all": "WITH " + LINES + "," + ITEM_VECTORS + "," + tastes("customer_id") + "," + UNITS
-        + "," + closest(10, "") + f" SELECT {CLOSEST_COLUMNS} FROM closest",
+        + "," + closest(100, "") + f" SELECT {CLOSEST_COLUMNS} FROM closest",
     "knn_zero_vector": f"""WITH vectors AS (
           SELECT vec_id AS customer_id,
                  CASE WHEN vec_id % 50 = 0 THEN list_transform(embedding, lambda x: 0.0::DOUBLE)
@@ -321,12 +321,12 @@ ORACLES: dict[str, str] = {
         .replace("vectors AS (SELECT", "plain AS (SELECT") + "," + ATTRIBUTES + """,
         vectors AS (SELECT plain.*, region_id AS block
                     FROM plain JOIN attributes USING (customer_id)),""" + UNITS + ","
-        + closest(10) + f" SELECT {CLOSEST_COLUMNS} FROM closest",
+        + closest(100) + f" SELECT {CLOSEST_COLUMNS} FROM closest",
     "knn_scope_channel": "WITH " + LINES + "," + ITEM_VECTORS + "," + tastes("customer_id")
         .replace("vectors AS (SELECT", "plain AS (SELECT") + "," + ATTRIBUTES + """,
         vectors AS (SELECT plain.*, channel_id AS block
                     FROM plain JOIN attributes USING (customer_id)),""" + UNITS + ","
-        + closest(10) + f" SELECT {CLOSEST_COLUMNS} FROM closest",
+        + closest(100) + f" SELECT {CLOSEST_COLUMNS} FROM closest",
     "similar_customers_rows": "WITH " + LINES + "," + ITEM_VECTORS + "," + tastes("customer_id")
         .replace("vectors AS (SELECT", "plain AS (SELECT") + "," + ATTRIBUTES + """,
         vectors AS (SELECT plain.*, segment_id AS block
@@ -356,7 +356,7 @@ ORACLES: dict[str, str] = {
                   FROM cells))
           WHERE als_score_rank <= 200),""" + norm("edge") + f"""
         SELECT {NORMED_COLUMNS} FROM normed""",
-    "score_norm_lists": top_items(20) + "," + norm("top") + f" SELECT {NORMED_COLUMNS} FROM normed",
+    "score_norm_lists": top_items(200) + "," + norm("top") + f" SELECT {NORMED_COLUMNS} FROM normed",
     "recommend_from_vectors": top_items(8) + "," + STATS + """,
         recs AS (
           SELECT * FROM top
@@ -392,14 +392,14 @@ ORACLES: dict[str, str] = {
     "export_factors_csv": "WITH " + VECTORS + " " + wide("vectors", "printf('%.6f', {})")
         .replace("SELECT customer_id,", "SELECT customer_id::VARCHAR AS customer_id,"),
     "als_factors": "WITH " + LINES + """
-        SELECT 'entity' AS side, customer_id || '|' || sales_org_id AS key, 16 AS width,
+        SELECT 'entity' AS side, customer_id || '|' || sales_org_id AS key, 64 AS width,
                true AS is_set FROM (SELECT DISTINCT customer_id, sales_org_id FROM lines)
         UNION ALL
-        SELECT DISTINCT 'item', item_id::VARCHAR, 16, true FROM lines""",
+        SELECT DISTINCT 'item', item_id::VARCHAR, 64, true FROM lines""",
     "als_customer_factors": "WITH " + COUNTS + """
-        SELECT DISTINCT customer_id, 8 AS width, true AS is_set FROM counts""",
+        SELECT DISTINCT customer_id, 32 AS width, true AS is_set FROM counts""",
     "order_recommendations_shape": "WITH " + LINES + """,
-        n AS (SELECT least(50, count(DISTINCT item_id)) AS k FROM lines)
+        n AS (SELECT least(200, count(DISTINCT item_id)) AS k FROM lines)
         SELECT DISTINCT customer_id, sales_org_id, k AS n_recs, k AS n_items,
                1.0::DOUBLE AS first_rank, k::DOUBLE AS last_rank, true AS mm_from_0,
                true AS mm_to_1, true AS raw_is_cosine
@@ -408,7 +408,7 @@ ORACLES: dict[str, str] = {
         active AS (SELECT DISTINCT customer_id, segment_id
                    FROM counts JOIN attributes USING (customer_id) WHERE segment_id IS NOT NULL),
         others AS (SELECT customer_id, count(*) OVER (PARTITION BY segment_id) - 1 AS n FROM active)
-        SELECT customer_id, least(n, 10) AS n_neighbors, least(n, 10) AS n_distinct,
+        SELECT customer_id, least(n, 100) AS n_neighbors, least(n, 100) AS n_distinct,
                0::BIGINT AS n_self, true AS is_cosine FROM others WHERE n > 0""",
     "run_ledger": "WITH " + RUNS + " SELECT * FROM timed",
     "run_ledger_filtered": "WITH " + RUNS + """

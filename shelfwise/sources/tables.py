@@ -47,7 +47,9 @@ def interactions(raw: DataFrame, config: RecommendationConfig) -> DataFrame:
         F.col("customer_id").isNotNull()
         & F.col("item_id").isNotNull()
         & (F.col("weight") > 0)
-        & (F.col("weight") < float("inf"))
+        # False for infinity. Databases without that value need not compile it: nothing of
+        # this test is pushed into the scan.
+        & ~F.isnan(F.col("weight") - F.col("weight"))
     )
     weight = F.col("weight").cast("float").cast("double")
     return usable.withColumn("weight", log_weight(weight, config.weight_alpha))
@@ -80,7 +82,7 @@ def inventory(raw: DataFrame, config: RecommendationConfig) -> DataFrame:
         stock = stock.where(F.col("warehouse_id") == config.warehouse_id)
     free = F.col("on_hand").cast("double") - F.col("allocated").cast("double")
     gross = stock.groupBy(F.col("item_id").cast("bigint").alias("item_id")).agg(
-        F.sum(F.when(free > 0, free).otherwise(0.0)).alias("gross")
+        F.sum(F.when((free > 0) & ~F.isnan(free), free).otherwise(0.0)).alias("gross")
     )
     sellable = F.col("gross") * F.lit(1.0 - config.safety_fraction)
     return gross.select("item_id", F.round(sellable, 0).cast("bigint").alias("avail_qty"))

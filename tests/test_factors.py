@@ -21,7 +21,7 @@ def ratings(spark):
 
 
 def fit(ratings, seed=7):
-    return factors.fit_implicit(ratings, rank=6, regularization=0.1, iterations=8, seed=seed)
+    return factors.fit_implicit(ratings, rank=6, regularization=0.1, iterations=8, seed=seed, blocks=4)
 
 
 def matrix_of(df):
@@ -45,12 +45,12 @@ def test_users_solve_their_normal_equations(ratings):
         assert np.abs(left @ users[user] - right).max() < 1e-4
 
 
-@pytest.mark.parametrize("ratings_, cores, blocks", [
-    (0, 8, 1), (6_000, 8, 2), (600_000, 8, 8), (10**9, 8000, 8000), (10**11, 8000, 8000),
-    (10**12, 8000, 50_000), (10**9, 8, 50),
-])
-def test_block_count(ratings_, cores, blocks):
-    assert factors.block_count(ratings_, cores) == blocks
+def test_layout_and_cluster_do_not_change_the_factors(ratings, setting):
+    found = []
+    for parts in (2, 9):
+        setting("spark.sql.shuffle.partitions", str(parts))
+        found.append(matrix_of(fit(ratings.repartition(parts)).userFactors))
+    assert all(np.allclose(found[0][k], found[1][k], atol=1e-3) for k in found[0])
 
 
 def test_a_seed_fixes_the_factors(ratings):

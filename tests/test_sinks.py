@@ -110,10 +110,10 @@ def test_target_is_one_place():
 
 def test_jdbc_writer_options():
     base = {"url": "jdbc:x", "user": "u"}
-    options = sinks.jdbc_writer_options(base, "t", batch_size=10, connections=3)
+    options = sinks.jdbc_writer_options(base, "t", batch_size=20_000, connections=3)
     assert options == {
-        "url": "jdbc:x", "user": "u", "dbtable": "t", "truncate": "true", "batchsize": "500",
+        "url": "jdbc:x", "user": "u", "dbtable": "t", "truncate": "true", "batchsize": "20000",
         "numPartitions": "3",
     }
-    assert sinks.clamp_batch(1_000_000) == 100_000
-    assert sinks.clamp_batch(20_000) == 20_000
+    with pytest.raises(ValueError):
+        sinks.jdbc_writer_options(base, "t", batch_size=1_000_000)
