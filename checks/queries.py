@@ -264,31 +264,31 @@ def factors_wide(t: Tables) -> DataFrame:
 # ---- ranked rows ------------------------------------------------------------
 
 
-def _recs(t: Tables) -> DataFrame:
+def _lists(t: Tables) -> DataFrame:
     """Each entity's own items ranked by weight: lists of every length."""
     scored = _weighted(t).withColumnRenamed("weight", "als_score_raw")
-    return ranking.rank_cells(scored, ORDERS.topk)
+    return ranking.ranked_lists(scored, ORDERS.topk)
 
 
-def _backfilled(t: Tables) -> DataFrame:
-    """The ranked rows are read twice, so they are written once."""
-    recs = materialize(_recs(t), "recs")
-    return ranking.backfill(recs, tables.reorder_stats(t.reorder_stats()), ORDERS)
+def _backfilled(t: Tables, config: RecommendationConfig = ORDERS) -> DataFrame:
+    """The lists are read twice, so they are written once."""
+    lists = materialize(_lists(t), "lists")
+    return ranking.backfilled(lists, tables.reorder_stats(t.reorder_stats()), config)
 
 
 @query("rec_counts")
 def rec_counts(t: Tables) -> DataFrame:
-    return ranking.rec_counts(_recs(t))
+    return ranking.rec_counts(_lists(t))
 
 
 @query("score_quantiles")
 def score_quantiles(t: Tables) -> DataFrame:
-    return rounded(ranking.score_quantiles(_recs(t), ORDERS), "lo_val", "hi_val", "span")
+    return rounded(ranking.score_quantiles(_lists(t), ORDERS), "lo_val", "hi_val", "span")
 
 
 @query("score_norm")
 def score_norm(t: Tables) -> DataFrame:
-    return rounded(ranking.normalise_rows(_backfilled(t), ORDERS), "als_score_raw", "als_score_mm")
+    return rounded(_backfilled(t), "als_score_raw", "als_score_mm")
 
 
 @query("score_norm_edges")
@@ -299,8 +299,8 @@ def score_norm_edges(t: Tables) -> DataFrame:
     ).otherwise(1e-3)
     own = tables.interactions(t.interactions(), ORDERS).withColumn("sales_org_id", F.lit("-1"))
     scored = matrix.cells(own).withColumn("als_score_raw", squeezed).drop("weight")
-    recs = ranking.rank_cells(scored, ORDERS.topk)
-    return rounded(ranking.normalise_rows(recs, ORDERS), "als_score_raw", "als_score_mm")
+    recs = ranking.normalise_lists(ranking.ranked_lists(scored, ORDERS.topk), ORDERS)
+    return rounded(recs, "als_score_raw", "als_score_mm")
 
 
 @query("score_norm_lists")
@@ -319,14 +319,14 @@ def due_items(t: Tables) -> DataFrame:
 
 @query("backfill")
 def backfill(t: Tables) -> DataFrame:
-    return rounded(_backfilled(t), "als_score_raw")
+    return rounded(_backfilled(t).drop("als_score_mm"), "als_score_raw")
 
 
 @query("recs_in_stock")
 def recs_in_stock(t: Tables) -> DataFrame:
     """Stock of one warehouse, which does not hold every item."""
     stock = materialize(tables.inventory(t.inventory(), WAREHOUSE), "stock")
-    recs = ranking.normalise_rows(_backfilled(t), WAREHOUSE)
+    recs = _backfilled(t, WAREHOUSE)
     return rounded(ranking.in_stock(recs, stock, WAREHOUSE), "als_score_raw", "als_score_mm")
 
 
@@ -345,7 +345,7 @@ def recommend_from_vectors(t: Tables) -> DataFrame:
 
 @query("sink_recs")
 def sink_recs(t: Tables) -> DataFrame:
-    recs = sinks.recommendation_table(ranking.normalise_rows(_backfilled(t), ORDERS))
+    recs = sinks.recommendation_table(_backfilled(t))
     path = scratch_path(t.spark, "user_rec_als")
     sinks.replace_files(recs, path)
     return rounded(t.spark.read.parquet(path), "als_score_raw", "als_score_mm")
@@ -364,7 +364,7 @@ def sink_staged(t: Tables) -> DataFrame:
 
 @query("export_recs_csv")
 def export_recs_csv(t: Tables) -> DataFrame:
-    recs = sinks.recommendation_table(ranking.normalise_rows(_backfilled(t), ORDERS))
+    recs = sinks.recommendation_table(_backfilled(t))
     path = scratch_path(t.spark, "user_rec_als_csv")
     sinks.write_pipe_files(sinks.recommendation_lines(recs), path)
     schema = ", ".join(f"{c} string" for c in ranking.COLUMNS)

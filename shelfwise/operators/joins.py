@@ -1,8 +1,8 @@
 """Joins that stay balanced when one key holds most of the rows.
 
 Adaptive execution splits a hot key of a sort-merge join only where both sides arrive
-straight from a shuffle. Right after an aggregate on the join key that is not so; a
-small table then joins salted, and a large one is written first (``materialize``).
+straight from a shuffle. Right after an aggregate on the join key that is not so, so a
+table of one row per key is written first (``materialize``) and, while it is small, broadcast.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
 # Rows of a few numbers each: about 100 MB as a broadcast table.
 BROADCAST_ROWS = 1_000_000
 
@@ -22,16 +21,3 @@ def small_side(keyed: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     planner shuffles both sides.
     """
     return F.broadcast(keyed) if keyed.count() <= most else keyed
-
-
-def salted_join(
-    rows: DataFrame, keyed: DataFrame, keys: list[str], spread_by: list[str], how: str = "inner"
-) -> DataFrame:
-    """Join many rows per key with a small table of one row per key.
-
-    Rows of a key spread over ``SALTS`` tasks by ``spread_by``; the small side is
-    repeated for each. Where it is small enough to broadcast, nothing moves.
-    """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int"))
-    repeated = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

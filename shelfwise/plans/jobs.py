@@ -39,8 +39,9 @@ def fit_order_factors(interactions: DataFrame, config: RecommendationConfig) ->
     found = materialize(matrix.cells(interactions), "cells")
     if found.isEmpty():
         raise ValueError("no usable interactions")
-    entities = matrix.entity_index(matrix.entity_lengths(found))
-    items = matrix.item_index(matrix.item_holders(found))
+    # Counted and joined more than once, so written.
+    entities = materialize(matrix.entity_index(matrix.entity_lengths(found)), "entities")
+    items = materialize(matrix.item_index(matrix.item_holders(found)), "items")
     weighted = matrix.bm25(found, config, entities, items)
     # The sign of a weight is the item's alone: an item held by nearly everyone has no
     # positive cell, its factors are zero, and it moves nobody's. Leaving such cells out
@@ -88,10 +89,7 @@ def recommend(
     recs = ranking.normalise_lists(lists, config)
     if listed < config.backfill_below:
         # Every entity has the same number of items, so all are short or none is.
-        extra = ranking.backfill_rows(fitted.entities, stats, config)
-        recs = recs.unionByName(
-            extra.withColumn("als_score_mm", F.lit(config.backfill_floor))
-        )
+        recs = recs.unionByName(ranking.backfill_rows(fitted.entities, stats, config))
     if stock is not None:
         recs = ranking.in_stock(recs, stock, config)
     return sinks.recommendation_table(recs)
@@ -124,10 +122,10 @@ def fit_customer_factors(
     found = materialize(matrix.count_cells(counts, config.confidence_alpha), "counts")
     if found.isEmpty():
         return None
-    customers = matrix.dense_index(
+    customers = materialize(matrix.dense_index(
         found.select("customer_id").distinct(), ["customer_id"], "user_idx"
-    )
-    items = matrix.item_index(found.select("item_id").distinct())
+    ), "customers")
+    items = materialize(matrix.item_index(found.select("item_id").distinct()), "items")
     ratings = materialize(
         found.join(small_side(customers), "customer_id")
         .join(small_side(items), "item_id")
@@ -166,6 +164,9 @@ def similar_customers(
     if config.write_neighbors:
         attributes = source.optional_table(spark, "customer_attr")
         if attributes is not None and not attributes.isEmpty():
+            column = tables.block_column(config.block_scope)
+            wanted = (*INPUTS["customer_attr"], *([column] if column else []))
+            tables.require_columns(attributes, "customer_attr", wanted)
             blocks = tables.block_attributes(attributes, config.block_scope)
     fitted = fit_customer_factors(counts, config, blocks)
     if fitted is None:
@@ -179,6 +180,7 @@ def similar_customers(
 
 # ---- running by name -------------------------------------------------------
 
+# Names of the input tables and their columns.
 INPUTS = {
     "vw_interactions": ("customer_id", "item_id", "weight"),
     "customer_item_reorder_stats": (
@@ -187,6 +189,7 @@ INPUTS = {
     "inventory_onhand": ("item_id", "on_hand", "allocated", "warehouse_id"),
     "transactions": ("txn_id", "customer_id", "txn_date", "doc_type"),
     "transaction_lines": ("txn_id", "item_id"),
+    "customer_attr": ("customer_id",),
 }
 
 
@@ -240,15 +243,12 @@ JOBS: Mapping[str, Callable[..., bool]] = {
     "customer_order_recommendation_als": run_order_recommendations,
     "similar_customers": run_similar_customers,
 }
-ENABLED = frozenset(JOBS)
 
 
 def run_job(
     name: str, spark: SparkSession, source: TenantSource, target: Target, **options
 ) -> bool:
-    """Run an enabled job; True when it wrote its tables."""
+    """Run a job; True when it wrote its tables."""
     if name not in JOBS:
         raise KeyError(f"unknown job {name!r}; known: {', '.join(sorted(JOBS))}")
-    if name not in ENABLED:
-        raise ValueError(f"job {name!r} is disabled")
     return JOBS[name](spark, source, target, **options)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.operators.joins import salted_join
+from shelfwise.operators.joins import small_side
+from shelfwise.session import materialize
 
 # Marks of progress lines, and of error lines on standard output.
 PROGRESS_MARKS = (
@@ -62,12 +63,15 @@ def error_lines(lines: DataFrame, runs: DataFrame) -> DataFrame:
 
     Output is searched only for runs that wrote ERROR there at least once.
     """
-    failed = runs.where(F.col("status") == "failed").select("job_id")
-    own = lines.join(failed, "job_id", "left_semi").withColumn(
-        "line", F.trim(F.col("line"), F.lit(BLANKS))
-    )
-    output = own.where(F.col("stream") == "stdout")
-    alarmed = output.where(F.contains("line", F.lit("ERROR"))).select("job_id").distinct()
-    marked = output.where(_holds_any(F.col("line"), ERROR_MARKS))
-    marked = salted_join(marked, alarmed, ["job_id"], ["line"])
-    return own.where(F.col("stream") == "stderr").unionByName(marked)
+    text = F.trim(F.col("line"), F.lit(BLANKS))
+    output = F.col("stream") == "stdout"
+    alarmed = lines.where(output & F.contains("line", F.lit("ERROR"))).select("job_id").distinct()
+    failed = runs.where(F.col("status") == "failed").select("job_id").distinct()
+    alarms = alarmed.withColumn("_alarmed", F.lit(True))
+    # One row per failed run, written: a broadcast while they are few, else a join in which
+    # adaptive execution can split a run with very many lines.
+    jobs = materialize(failed.join(alarms, "job_id", "left"), "failed-runs")
+    errors = F.col("stream") == "stderr"
+    wanted = lines.withColumn("line", text).where(errors | (output & _holds_any(F.col("line"), ERROR_MARKS)))
+    own = wanted.join(small_side(jobs), "job_id")
+    return own.where(errors | F.col("_alarmed")).drop("_alarmed")

@@ -5,6 +5,8 @@ import pytest
 from checks.queries import QUERIES
 from checks.standins import Tables
 from shelfwise.config import SimilarityConfig
+from shelfwise.operators.neighbors import closest_customers
+from shelfwise.session import materialize
 from shelfwise.sources import tables
 from tests.conftest import SF
 
@@ -59,5 +61,21 @@ def test_list_scores_need_no_shuffle_after_the_search(spark):
 def test_candidates_are_spread_before_they_are_repeated(spark):
     """However few files hold the candidates, every task repeats a share of them."""
     plan = plan_of(QUERIES["topk_items"](spark, SF))
-    repeated = plan[plan.index("Generate explode(sequence"):]
+    repeated = plan[plan.index("Generate explode("):]
     assert "REPARTITION_BY_NUM" in repeated[:repeated.index("FileScan")]
+
+
+def test_vectors_are_shuffled_once(spark):
+    """Written vectors in enough files go to their groups straight from the scan."""
+    rows = spark.range(40).selectExpr(
+        "id AS customer_id", "array(1D, CAST(id AS DOUBLE)) AS features", "id % 3 AS block")
+    vectors = materialize(rows.repartition(8), "vectors")
+    plan = plan_of(closest_customers(vectors, 3))
+    assert plan.count("Exchange REPARTITION_BY_NUM") + plan.count("Exchange hashpartitioning") == 0
+    assert plan.count("Exchange ") - plan.count("BroadcastExchange ") == 1
+
+
+def test_lines_are_read_twice(spark):
+    """Once for the alarms, which are written, and once for what is wanted."""
+    plan = plan_of(QUERIES["log_errors"](spark, SF))
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan

@@ -41,3 +41,13 @@ def test_lines(spark):
         ("a", "ERROR x"), ("a", "ETA: 5"), ("a", "Neighbors (ALS):  3%|#"), ("a", "boom"),
         ("a", "no Exception here"),
     ]
+
+
+def test_one_line_repeated_in_one_job(spark, setting):
+    """A run with nearly all lines, all alike, is kept whole, however its runs are joined."""
+    lines = spark.range(20_000).selectExpr(
+        "IF(id % 100 = 0, 'd', 'a') AS job_id", "'stdout' AS stream", "' ERROR x ' AS line")
+    frame = spark.createDataFrame(RUNS, SCHEMA)
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = runs.error_lines(lines, frame).groupBy("job_id", "line").count().collect()
+    assert sorted(map(tuple, found)) == [("a", "ERROR x", 19_800), ("d", "ERROR x", 200)]

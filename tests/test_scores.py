@@ -55,40 +55,33 @@ SHAPES = {
 }
 
 
-@pytest.mark.parametrize("form", ["rows", "lists"])
+@pytest.mark.parametrize("form", ["ranked", "given"])
 def test_normalised_score(spark, form):
     recs = [r for c, scores in enumerate(SHAPES.values()) for r in list_of(c, scores)]
-    if form == "rows":
-        normed = ranking.normalise_rows(spark.createDataFrame(recs, RECS), CONFIG)
+    if form == "ranked":
+        lists = ranking.ranked_lists(spark.createDataFrame(recs, RECS).drop("als_score_rank", "source"), 200)
     else:
-        normed = ranking.normalise_lists(lists_frame(spark, recs), CONFIG)
-    rows = normed.collect()
+        lists = lists_frame(spark, recs)
+    rows = ranking.normalise_lists(lists, CONFIG).collect()
     for customer, (name, scores) in enumerate(SHAPES.items()):
         own = sorted((r for r in rows if r.customer_id == customer), key=lambda r: r.als_score_rank)
         got = [r.als_score_mm for r in own]
         assert np.allclose(got, expected(scores), atol=1e-12), name
 
 
-def test_both_forms_agree_in_every_column(spark):
+def test_quantiles_equal_the_exact_percentile(spark):
     rng = np.random.default_rng(0)
     recs = [
         r for c in range(40) for r in list_of(c, rng.standard_normal(int(rng.integers(1, 60))).tolist())
     ]
-    columns = [*ranking.COLUMNS]
-    by_rows = ranking.normalise_rows(spark.createDataFrame(recs, RECS), CONFIG).select(columns)
-    by_lists = ranking.normalise_lists(lists_frame(spark, recs), CONFIG).select(columns)
-    left, right = (sorted(map(tuple, df.collect())) for df in (by_rows, by_lists))
-    assert len(left) == len(right)
-    for a, b in zip(left, right):
-        assert a[:2] == b[:2] and a[4:] == b[4:] and np.allclose(a[2:4], b[2:4], atol=1e-12)
-
-
-def test_backfill_rows_get_the_floor_and_do_not_count(spark):
-    recs = list_of(1, [0.5] * 12) + [(1, "A", 5, 0.0, 999, "backfill")] * 5
-    normed = ranking.normalise_rows(spark.createDataFrame(recs, RECS), CONFIG).collect()
-    assert {r.als_score_mm for r in normed if r.source == "backfill"} == {0.05}
-    own = sorted((r for r in normed if r.source == "als"), key=lambda r: r.als_score_rank)
-    assert np.allclose([r.als_score_mm for r in own], 1 - np.arange(12) / 11)
+    found = ranking.score_quantiles(lists_frame(spark, recs), CONFIG).collect()
+    assert {r.customer_id for r in found} == {
+        c for c in range(40) if sum(r[0] == c for r in recs) >= CONFIG.min_items
+    }
+    for row in found:
+        raw = [r[3] for r in recs if r[0] == row.customer_id]
+        low, high = np.percentile(raw, [CONFIG.low_percent, CONFIG.high_percent])
+        assert np.allclose([row.lo_val, row.hi_val, row.span], [low, high, high - low], atol=1e-12)
 
 
 def test_due_rule(spark):
@@ -105,17 +98,23 @@ def test_due_rule(spark):
     assert due == {i for i, case in enumerate(cases) if case[3]}
 
 
-def test_backfill_takes_the_first_ten_due_items_of_short_lists(spark):
-    recs = spark.createDataFrame(list_of(1, [0.1] * 9) + list_of(2, [0.1] * 10), RECS)
+@pytest.mark.parametrize("broadcast_rows", [100, 0])
+def test_backfill_takes_the_first_ten_due_items_of_short_lists(spark, broadcast_rows):
+    lists = lists_frame(spark, list_of(1, [0.1] * 9) + list_of(2, [0.1] * 10))
     stats = spark.createDataFrame(
         [(c, i, 100.0, None, None, org) for c in (1, 2, 3) for i in range(30, 0, -1) for org in "AB"],
         "customer_id bigint, item_id bigint, days_since_last double, med_cycle_days double, "
         "avg_cycle_days double, sales_org_id string",
     )
-    added = ranking.backfill(recs, stats, CONFIG).where("source = 'backfill'").collect()
-    assert {(r.customer_id, r.sales_org_id) for r in added} == {(1, "A")}
-    assert sorted(r.item_id for r in added) == list(range(1, 11))
-    assert {(r.als_score_raw, r.als_score_rank) for r in added} == {(0.0, 999)}
+    rows = ranking.backfilled(lists, stats, CONFIG).collect()
+    own = sorted((r for r in rows if r.source == "als" and r.customer_id == 1), key=lambda r: r.als_score_rank)
+    assert np.allclose([r.als_score_mm for r in own], 1 - np.arange(9) / 8)
+    short = spark.createDataFrame([(1, "A")], "customer_id bigint, sales_org_id string")
+    direct = ranking.backfill_rows(short, stats, CONFIG, broadcast_rows).collect()
+    for added in ([r for r in rows if r.source == "backfill"], direct):
+        assert {(r.customer_id, r.sales_org_id) for r in added} == {(1, "A")}
+        assert sorted(r.item_id for r in added) == list(range(1, 11))
+        assert {(r.als_score_raw, r.als_score_mm, r.als_score_rank) for r in added} == {(0.0, 0.05, 999)}
 
 
 def test_inventory_rounds_half_up_and_ignores_shortage(spark):

@@ -8,7 +8,7 @@ from shelfwise.config import RecommendationConfig, SimilarityConfig
 from shelfwise.session import scratch_path
 from shelfwise.sources import tables
 from shelfwise.sources.tenants import (
-    JdbcPartitioning, TenantSource, find_tenant, jdbc_options, load_tenants,
+    JdbcPartitioning, TenantSource, existence_query, find_tenant, jdbc_options, load_tenants,
 )
 
 
@@ -36,6 +36,18 @@ def test_tenants_are_found_by_upper_case_name():
     assert load_tenants("{}") == {}
 
 
+def test_database_tenants_are_split_qualified_and_asked():
+    text = """{"tenants": {"a": {"jdbc": {"url": "jdbc:x"}, "db_schema": "S", "absent": ["customer_attr"],
+        "partitioning": {"transactions": {"column": "txn_id", "lower": 0, "upper": 9, "partitions": 3}}}}}"""
+    source = load_tenants(text)["A"]
+    assert source.partitioning == {"transactions": JdbcPartitioning("txn_id", 0, 9, 3)}
+    assert (source.db_schema, source.absent) == ("S", frozenset({"customer_attr"}))
+    assert existence_query("customer_attr", "S") == (
+        "SELECT table_name FROM information_schema.tables "
+        "WHERE table_name = 'customer_attr' AND table_schema = 'S'")
+    assert existence_query("it's").endswith("WHERE table_name = 'it''s'")
+
+
 def test_server_fields_become_jdbc_options():
     text = """{"tenants": {
         "a": {"db_server": "h", "db_name": "d", "db_user": "u", "db_password": "p;x"},
