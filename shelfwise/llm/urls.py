@@ -7,8 +7,9 @@ the host's suffix over all URLs (frequency, mean length) and over all labelled o
 blocked, smoothed). URLs without a rule get the trees' verdict.
 
 The statistics cover all rows. The trees are fitted on a sample of the labelled URLs, chosen by a
-hash of the URL, of about ``TRAIN_ROWS`` rows. If the labelled URLs are of one kind only, that kind
-is the verdict; without labelled URLs it is allow.
+hash of id and URL, of about ``TRAIN_ROWS`` rows; so one URL on very many pages gives its share of
+the sample and no more. If the labelled URLs are of one kind only, that kind is the verdict; without
+labelled URLs it is allow.
 
 A null URL, or one without ``://``, has an empty host and path and is judged by the trees. URLs of
 any length are read whole. Rows are judged one by one; repeated rows alike. An empty table gives an
@@ -27,6 +28,7 @@ from shelfwise.operators.joins import small_side
 from shelfwise.session import materialize
 
 TRAIN_ROWS = 20_000
+DRAWS = 1 << 40
 # (verdict, rule): host, then path from the first slash.
 RULES = [
     ("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"),
@@ -102,7 +104,8 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_column: st
     rows = lexical(rows.withColumns({"rule": rule, "_ruled": verdict}))
     blocked = F.when(F.col("_ruled") == "block", 1).when(F.col("_ruled") == "allow", 0)
     rows = rows.withColumn("_label", blocked.cast("double")).drop("url")
-    rows = materialize(rows.withColumn("_draw", F.pmod(F.xxhash64(F.lit(seed), "host", "path"), F.lit(1_000_000))), "urls")
+    draw = F.pmod(F.xxhash64(F.lit(seed), "_id", "host", "path"), F.lit(DRAWS))
+    rows = materialize(rows.withColumn("_draw", draw), "urls")
     suffixes = materialize(rows.groupBy("_suffix").agg(
         F.log2(F.count(F.lit(1))).alias("f_suffix_count"),
         F.avg("f_length").alias("f_suffix_length"),
@@ -113,7 +116,7 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_column: st
     labelled = rows.filter(F.col("_label").isNotNull())
     kinds = {row[0]: row[1] for row in labelled.groupBy("_label").count().collect()}
     if len(kinds) == 2:
-        share = min(1_000_000, 1_000_000 * train_rows // sum(kinds.values()))
+        share = min(DRAWS, DRAWS * train_rows // sum(kinds.values()))
         sample = materialize(labelled.filter(F.col("_draw") < share).select("_features", "_label"), "sample")
         trees = GBTClassifier(
             featuresCol="_features", labelCol="_label", predictionCol="_block",

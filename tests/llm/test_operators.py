@@ -422,6 +422,21 @@ def test_urls_of_one_kind_or_none(spark):
     assert [r.verdict for r in urls.judged(none).collect()] == ["allow"]
 
 
+def test_url_sample_is_bounded_where_one_url_is_hot(spark, monkeypatch):
+    rows = [(i, "http://a.net/x" if i % 3 else f"http://h{i}.org/fr/") for i in range(3000)]
+    sizes, write = {}, urls.materialize
+
+    def counted(df, name):
+        found = write(df, name)
+        sizes[name] = found.count()
+        return found
+
+    monkeypatch.setattr(urls, "materialize", counted)
+    found = urls.judged(spark.createDataFrame(rows, "page_id long, url string"), train_rows=300)
+    assert 200 < sizes["sample"] < 400
+    assert found.count() == 3000
+
+
 # ---- empty tables -------------------------------------------------------------
 
 
