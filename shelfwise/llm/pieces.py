@@ -6,7 +6,8 @@ their scores (unigram, or merges for a BPE model) and the byte fallback. Where n
 marker after another letter, no token crosses from a word to the next marker; a text is then cut
 there, and each distinct part is encoded once per batch, many threads at a time.
 
-``parity`` compares a backend with the sentencepiece library text by text.
+``parity`` compares a backend with the sentencepiece library text by text. Where two ways of cutting
+a text into unigram pieces have equal sums of scores, rounding decides, and the libraries may differ.
 
 Null is the empty text without tokens. Texts of any length are encoded whole; each row by itself,
 repeated rows alike. An empty table gives an empty one. Only the id and the text are read.
@@ -73,6 +74,7 @@ class Model:
     trim_spaces: bool
     escape_spaces: bool
     suffix_mark: bool
+    unknown_text: str
 
     @classmethod
     def parse(cls, data: bytes) -> Model:
@@ -89,19 +91,26 @@ class Model:
         return cls(
             pieces, trainer.get(3, UNIGRAM), bool(trainer.get(35, 0)), normalizer.get(2, b""),
             bool(normalizer.get(3, 1)), bool(normalizer.get(4, 1)), bool(normalizer.get(5, 1)),
-            bool(trainer.get(24, 0)),
+            bool(trainer.get(24, 0)), trainer.get(44, " \u2047 ".encode()).decode(),
         )
 
-    def backend(self):
-        """The tokenizer of normalised text."""
+    @property
+    def unknown(self) -> int:
+        return next(i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN)
+
+    def backend(self, fallback: bool = True):
+        """The tokenizer of normalised text; without ``fallback`` a unigram model has no bytes."""
         from tokenizers import Tokenizer, decoders, models
 
-        unknown = next(i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN)
+        unknown = self.unknown
         if any(p[2] == USER_DEFINED for p in self.pieces) or self.suffix_mark or not self.escape_spaces:
             raise ValueError("user-defined pieces, marks as suffixes and plain spaces are not supported")
         if self.kind == UNIGRAM:
+            # Other pieces never stand for their own spelling: a space keeps them from matching.
+            seen = (NORMAL, BYTE) if fallback else (NORMAL,)
             model = models.Unigram(
-                [(p, s) for p, s, _ in self.pieces], unknown, byte_fallback=self.byte_fallback
+                [(p if kind in seen else " " + p, s) for p, s, kind in self.pieces], unknown,
+                byte_fallback=self.byte_fallback and fallback,
             )
         elif self.kind == BPE:
             vocabulary = {p: i for i, (p, _, _) in enumerate(self.pieces)}
@@ -137,7 +146,7 @@ class Codec:
 
     def __init__(self, data: bytes, threads: int = 2):
         import regex
-        from tokenizers import Regex, normalizers
+        from tokenizers import normalizers
 
         # The library reads this once, before its first batch.
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
@@ -147,14 +156,18 @@ class Codec:
         whole = regex.compile("(?s).+")
         self.find = (regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+") if model.separable else whole).findall
         self.plain = model.separable and model.dummy_prefix
-        steps = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
-        if model.trim_spaces:
-            steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
-        self.normalizer = normalizers.Sequence(steps) if steps else None
+        self.normalizer = normalizers.Precompiled(model.charsmap) if model.charsmap else None
+        self.single_spaces = regex.compile(" {2,}").sub
+        # Texts that spell out a byte piece need a unigram model that does not know it.
+        self.spells_byte = model.kind == UNIGRAM and model.byte_fallback
+        self.spelled = model.backend(fallback=False) if self.spells_byte else None
+        self.byte_ids = {int(p[3:-1], 16): i for i, (p, _, kind) in enumerate(model.pieces) if kind == BYTE}
+        self.unknown = model.unknown
         # What each id stands for; control pieces stand for nothing.
         self.surface = [
             bytes([int(p[3:-1], 16)]) if kind == BYTE
             else b"" if kind == CONTROL
+            else model.unknown_text.encode() if kind == UNKNOWN
             else p.replace(MARK, " ").encode()
             for p, _, kind in model.pieces
         ]
@@ -163,6 +176,10 @@ class Codec:
         """The text as the model sees it: marks for spaces, one more in front."""
         if self.normalizer is not None:
             text = self.normalizer.normalize_str(text)
+        if self.model.trim_spaces:
+            text = text.strip(" ")
+            if "  " in text:
+                text = self.single_spaces(" ", text)
         if not text:
             return ""
         return (MARK if self.model.dummy_prefix else "") + text.replace(" ", MARK)
@@ -179,10 +196,18 @@ class Codec:
         for at in range(0, len(new), 4096):
             batch = new[at : at + 4096]
             for part, found in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)):
-                known[part] = array("i", found.ids).tobytes()
+                ids = self.spell(part) if self.spells_byte and "<0x" in part else found.ids
+                known[part] = array("i", ids).tobytes()
         get = known.__getitem__
         return [np.frombuffer(b"".join(map(get, row)), dtype=np.int32) for row in parts]
 
+    def spell(self, part: str) -> list[int]:
+        """The ids of a part in which no byte piece may match; what is unknown becomes bytes."""
+        found, ids = self.spelled.encode(part, add_special_tokens=False), []
+        for piece, (a, b) in zip(found.ids, found.offsets):
+            ids += [self.byte_ids[x] for x in part[a:b].encode()] if piece == self.unknown else [piece]
+        return ids
+
     def parts(self, text: str) -> list[str]:
         """The normalised text, cut where no token can cross."""
         text = self.normalise(text)
@@ -201,7 +226,8 @@ class Codec:
             except UnicodeDecodeError:
                 out.append(self.tokenizer.decode(ids, skip_special_tokens=False))
                 continue
-            out.append(text[1:] if self.model.dummy_prefix and text[:1] == " " else text)
+            marked = self.model.dummy_prefix and text[:1] == " " and ids[0] != self.unknown
+            out.append(text[1:] if marked else text)
         return out
 
     def readable(self, text: str) -> str:
