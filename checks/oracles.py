@@ -398,6 +398,11 @@ ORACLES: dict[str, str] = {
         SELECT DISTINCT 'item', item_id::VARCHAR, 64, true FROM lines""",
     "als_customer_factors": "WITH " + COUNTS + """
         SELECT DISTINCT customer_id, 32 AS width, true AS is_set FROM counts""",
+    "als_residual": "WITH " + BM25 + """
+        SELECT customer_id, sales_org_id, count(*) FILTER (raw > 0) AS n_cells, true AS solved
+        FROM scored GROUP BY ALL""",
+    "als_customer_residual": "WITH " + COUNTS + """
+        SELECT customer_id, count(*) AS n_cells, true AS solved FROM counts GROUP BY ALL""",
     "order_recommendations_shape": "WITH " + LINES + """,
         n AS (SELECT least(200, count(DISTINCT item_id)) AS k FROM lines)
         SELECT DISTINCT customer_id, sales_org_id, k AS n_recs, k AS n_items,

@@ -14,7 +14,7 @@ from checks.standins import Tables
 from shelfwise.config import RecommendationConfig, SimilarityConfig
 from shelfwise.functions.keys import ENTITY, entity_key, key_customer, key_org, sales_org
 from shelfwise.functions.vectors import l2_norm, l2_unit
-from shelfwise.operators import matrix, neighbors, ranking
+from shelfwise.operators import factors, matrix, neighbors, ranking
 from shelfwise.plans import jobs, runs
 from shelfwise.session import materialize, scratch_path
 from shelfwise.sinks import tables as sinks
@@ -416,6 +416,37 @@ def als_customer_factors(t: Tables) -> DataFrame:
     )
 
 
+# Vectors are stored as float32, so the two sides of an equation agree to some digits only.
+SOLVED = 1e-3
+
+
+@query("als_residual")
+def als_residual(t: Tables) -> DataFrame:
+    """Every entity's positive cells, and whether its vector solves its normal equations."""
+    fitted = _order_factors(t, ORDERS)
+    cells = _weighted(t).where(F.col("weight") > 0).select(
+        *ENTITY, "item_id", F.col("weight").cast("float").alias("rating")
+    )
+    found = factors.residuals(
+        cells, fitted.entities, fitted.items, ENTITY, ORDERS.factors, ORDERS.regularization
+    )
+    return found.select(*ENTITY, "n_cells", (F.col("residual") <= SOLVED).alias("solved"))
+
+
+@query("als_customer_residual")
+def als_customer_residual(t: Tables) -> DataFrame:
+    counts = tables.transaction_counts(t.transactions(), t.transaction_lines(), SIMILAR, t.as_of())
+    customers, items = jobs.customer_and_item_factors(counts, SIMILAR)
+    cells = matrix.count_cells(counts, SIMILAR.confidence_alpha).withColumn(
+        "rating", F.col("weight").cast("float")
+    )
+    found = factors.residuals(
+        cells, materialize(customers, "residual-customers"), materialize(items, "residual-items"),
+        ["customer_id"], SIMILAR.factors, SIMILAR.regularization,
+    )
+    return found.select("customer_id", "n_cells", (F.col("residual") <= SOLVED).alias("solved"))
+
+
 def order_job(t: Tables, config: RecommendationConfig) -> DataFrame:
     stats = tables.reorder_stats(t.reorder_stats())
     return jobs.recommend(_order_factors(t, config), stats, None, config)

@@ -95,30 +95,37 @@ def recommend(
     return sinks.recommendation_table(recs)
 
 
-def order_recommendations(
+def order_inputs(
     spark: SparkSession, source: TenantSource, config: RecommendationConfig
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Interactions, reorder statistics and, where the filter is on, stock: typed and not yet run.
+
+    Spark resolves the types here, so a column that cannot be read as its number fails at once.
+    """
     interactions = tables.interactions(source.table(spark, "vw_interactions"), config)
     stats = tables.reorder_stats(source.table(spark, "customer_item_reorder_stats"))
     stock = None
     if config.filter_out_of_stock:
-        stock = materialize(
-            tables.inventory(source.table(spark, "inventory_onhand"), config), "stock"
-        )
+        stock = tables.inventory(source.table(spark, "inventory_onhand"), config)
+    return interactions, stats, stock
+
+
+def order_recommendations(
+    spark: SparkSession, source: TenantSource, config: RecommendationConfig
+) -> DataFrame:
+    interactions, stats, stock = order_inputs(spark, source, config)
+    if stock is not None:
+        stock = materialize(stock, "stock")
     return recommend(fit_order_factors(interactions, config), stats, stock, config)
 
 
 # ---- similar customers -----------------------------------------------------
 
 
-def fit_customer_factors(
-    counts: DataFrame, config: SimilarityConfig, blocks: DataFrame | None = None
-) -> DataFrame | None:
-    """(customer_id, features[, block]), or None where the window holds no transactions.
-
-    Written once with the block beside the vector: the wide table and both sides of the
-    neighbour search read it back.
-    """
+def customer_and_item_factors(
+    counts: DataFrame, config: SimilarityConfig
+) -> tuple[DataFrame, DataFrame] | None:
+    """(customer_id, features) and (item_id, features), or None without transactions."""
     found = materialize(matrix.count_cells(counts, config.confidence_alpha), "counts")
     if found.isEmpty():
         return None
@@ -140,9 +147,23 @@ def fit_customer_factors(
         seed=config.seed,
         blocks=config.blocks,
     )
-    fitted = factors.attach(customers, model.userFactors, "user_idx", config.factors)
-    fitted = fitted.select("customer_id", "features")
-    return materialize(neighbors.with_blocks(fitted, blocks), "customer-factors")
+    customer_factors = factors.attach(customers, model.userFactors, "user_idx", config.factors)
+    item_factors = factors.attach(items, model.itemFactors, "item_idx", config.factors)
+    return customer_factors.select("customer_id", "features"), item_factors.select("item_id", "features")
+
+
+def fit_customer_factors(
+    counts: DataFrame, config: SimilarityConfig, blocks: DataFrame | None = None
+) -> DataFrame | None:
+    """(customer_id, features[, block]), or None where the window holds no transactions.
+
+    Written once with the block beside the vector: the wide table and both sides of the
+    neighbour search read it back.
+    """
+    found = customer_and_item_factors(counts, config)
+    if found is None:
+        return None
+    return materialize(neighbors.with_blocks(found[0], blocks), "customer-factors")
 
 
 @dataclass(frozen=True)
@@ -151,12 +172,13 @@ class CustomerSimilarity:
     neighbors: DataFrame | None
 
 
-def similar_customers(
+def similarity_inputs(
     spark: SparkSession,
     source: TenantSource,
     config: SimilarityConfig,
     as_of: datetime | Column | None = None,
-) -> CustomerSimilarity | None:
+) -> tuple[DataFrame, DataFrame | None]:
+    """Counts of transactions and, where there are attributes, blocks: typed and not yet run."""
     counts = tables.transaction_counts(
         source.table(spark, "transactions"), source.table(spark, "transaction_lines"), config, as_of
     )
@@ -168,6 +190,16 @@ def similar_customers(
             wanted = (*INPUTS["customer_attr"], *([column] if column else []))
             tables.require_columns(attributes, "customer_attr", wanted)
             blocks = tables.block_attributes(attributes, config.block_scope)
+    return counts, blocks
+
+
+def similar_customers(
+    spark: SparkSession,
+    source: TenantSource,
+    config: SimilarityConfig,
+    as_of: datetime | Column | None = None,
+) -> CustomerSimilarity | None:
+    counts, blocks = similarity_inputs(spark, source, config, as_of)
     fitted = fit_customer_factors(counts, config, blocks)
     if fitted is None:
         log.warning("tenant %s: no transactions in the look-back window", source.name)
@@ -209,6 +241,7 @@ def run_order_recommendations(
     names = ["vw_interactions", "customer_item_reorder_stats"]
     check_inputs(spark, source, names + ["inventory_onhand"] * config.filter_out_of_stock)
     if dry_run:
+        order_inputs(spark, source, config)
         return False
     with scratch_run(spark):
         recs = order_recommendations(spark, source, config)
@@ -228,6 +261,7 @@ def run_similar_customers(
     config = config or SimilarityConfig()
     check_inputs(spark, source, ["transactions", "transaction_lines"])
     if dry_run:
+        similarity_inputs(spark, source, config, as_of)
         return False
     with scratch_run(spark):
         found = similar_customers(spark, source, config, as_of)

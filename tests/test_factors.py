@@ -45,6 +45,25 @@ def test_users_solve_their_normal_equations(ratings):
         assert np.abs(left @ users[user] - right).max() < 1e-4
 
 
+def test_residuals_tell_a_fit_from_other_vectors(spark, ratings):
+    model = fit(ratings)
+    cells = ratings.withColumnsRenamed({"user_idx": "user", "item_idx": "item_id"})
+    users = model.userFactors.withColumnRenamed("id", "user")
+    items = model.itemFactors.withColumnRenamed("id", "item_id")
+    zero = F.array_repeat(F.lit(0.0).cast("float"), 6)
+    more = spark.createDataFrame([(900, 0.0), (901, 1.0)], "user int, x float")
+    users = users.unionByName(more.select("user", F.transform(zero, lambda x: F.col("x")).alias("features")))
+    found = {r.user: r for r in factors.residuals(cells, users, items, ["user"], 6, 0.1).collect()}
+    assert (found[900].n_cells, found[900].residual) == (0, 0.0)
+    assert (found[901].n_cells, found[901].residual) == (0, float("inf"))
+    fitted = [r for r in found.values() if r.user < 900]
+    assert max(r.residual for r in fitted) < 1e-4
+    assert sum(r.n_cells for r in fitted) == ratings.count()
+    moved = users.withColumn("features", F.transform("features", lambda x: (x * 1.1).cast("float")))
+    moved = factors.residuals(cells, moved, items, ["user"], 6, 0.1).where("user < 900")
+    assert moved.agg(F.min("residual")).head()[0] > 1e-3
+
+
 def test_layout_and_cluster_do_not_change_the_factors(ratings, setting):
     found = []
     for parts in (2, 9):

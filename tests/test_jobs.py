@@ -5,6 +5,8 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from shelfwise.config import RecommendationConfig, SimilarityConfig
 from shelfwise.plans import jobs
@@ -171,6 +173,24 @@ def test_dry_run_checks_and_writes_nothing(spark, source, name):
         jobs.run_job(name, spark, TenantSource("O", path=path), Target(target), dry_run=True)
 
 
+@pytest.mark.parametrize("name, table, column", [
+    ("customer_order_recommendation_als", "vw_interactions", "weight"),
+    ("customer_order_recommendation_als", "customer_item_reorder_stats", "med_cycle_days"),
+    ("similar_customers", "transactions", "txn_date"),
+])
+def test_dry_run_checks_types(spark, source, name, table, column):
+    path = scratch_path(spark, "typed")
+    for known in jobs.INPUTS:
+        found = source.optional_table(spark, known)
+        if found is None:
+            continue
+        if known == table:
+            found = found.withColumn(column, F.array(F.lit(1)))
+        found.limit(1).write.parquet(f"{path}/{known}")
+    with pytest.raises(AnalysisException):
+        jobs.run_job(name, spark, TenantSource("O", path=path), Target(path), dry_run=True)
+
+
 def test_unknown_job(spark, source):
     with pytest.raises(KeyError):
         jobs.run_job("nothing", spark, source, Target("x"))
