@@ -39,7 +39,8 @@ HITS = "n_words long, spans array<struct<first:int,last:int,start:int,end:int>>,
 
 def item_words(text: str | None) -> list[str]:
     """Normalised words, one character for each UTF-8 byte."""
-    return (text or "").encode().translate(TO_SPACE).decode("latin-1").split()
+    # Parted as bytes, as in ``scan``: text would also part at U+0085 and U+00A0.
+    return [word.decode("latin-1") for word in (text or "").encode().translate(TO_SPACE).split()]
 
 
 def patterns(items: list[tuple[object, str | None]], size: int) -> dict[str, tuple[int, tuple[str, ...]]]:

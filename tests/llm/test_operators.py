@@ -204,6 +204,21 @@ def test_contamination_spans_are_of_the_original(spark):
     assert [text[s.start : s.end] for s in found["spans"]] == ["ALLE, alle (Berge)  weit"]
 
 
+def test_contamination_keeps_bytes_that_are_blank_in_latin_1(spark):
+    rng = random.Random(6)
+    odd_words = ["à", "va\u00a0là", "mąka", "Škoda", "хор", "Рим", "λύκος", "Πύλος", "全公入加", "x\u0085y"]
+    items = [(i, " ".join([word, *(f"w{rng.randrange(400)}" for _ in range(11)), word])) for i, word in enumerate(odd_words)]
+    rows = [(i, f"Before, {text}; after") for i, text in items] + [(99, "à la carte")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for block_bytes in (4_000_000, 100):
+        hits = decontaminate.contamination(documents(spark, rows), benchmark, block_bytes=block_bytes)
+        found = {r.doc_id: r for r in decontaminate.digest(hits).collect()}
+        assert [found[i].n_hit for i, _ in items] == [len(norm(text)) for _, text in items]
+        assert [found[i].n_items for i, _ in items] == [1] * len(items)
+        clean = decontaminate.clean(documents(spark, rows), benchmark, block_bytes=block_bytes)
+        assert [r.doc_id for r in clean.collect()] == [99]
+
+
 # ---- tokens -------------------------------------------------------------------
 
 
