@@ -3,8 +3,10 @@
 Every line that is not blank gets a HyperLogLog sketch of the sites it stands on; sketches of one
 line merge by aggregation. An estimate well above ``sites`` makes a line boilerplate, one well
 below does not, and lines in between get an exact count of distinct sites. Boilerplate lines leave
-their documents. A document that would lose more than half of its lines that are not blank is left
-as it is: it is a copy rather than a page with boilerplate, and near-duplicate removal judges it.
+their documents. ``digest`` leaves a document as it is that would lose more than half of its lines
+that are not blank, as its SQL says. ``edited`` leaves such a document only if nothing else would
+stay, or if it is shown to be a copy, whose lines are on many sites because its text is;
+near-duplicate removal judges it. All others lose their boilerplate, whatever its share.
 
 Lines are parted by ``\\n`` and compared whole, by two 64-bit hashes. Null text is kept as null and
 has no lines. A null site counts for no line. Rows are edited where they stand: repeated rows are
@@ -23,8 +25,15 @@ from shelfwise.operators.joins import small_side
 from shelfwise.session import materialize
 
 LINE = ["_h1", "_h2"]
+TEXT = ["_t1", "_t2"]
 # Standard errors around the threshold within which a line is counted exactly.
 MARGIN = 4
+# A copy has this share of the characters of both texts in common with another one.
+ALIKE = 0.8
+# Texts that a text is compared with, in each of its two classes of length.
+HUBS = 4
+# A line in one number: the low bits hold its length, the others a hash.
+LENGTH_BITS = 24
 
 
 def lines_of(text: Column | str) -> Column:
@@ -59,31 +68,97 @@ def boilerplate(documents: DataFrame, site: str, sites: int, lg_k: int = 10) ->
     return materialize(found, "boilerplate")
 
 
+def text_key() -> list[Column]:
+    return [F.xxhash64("text").alias("_t1"), F.xxhash64(F.lit(1), "text").alias("_t2")]
+
+
+def n_lines() -> Column:
+    lines = F.size(F.filter(lines_of("text"), not_blank))
+    return F.when(F.col("text").isNull(), 0).otherwise(lines)
+
+
+def copies(documents: DataFrame, cuts: DataFrame, most_share: float) -> DataFrame:
+    """Keys of the texts, among those with more than ``most_share`` boilerplate, that are copies.
+
+    Two rows with one text are copies. So are two texts that share ``ALIKE`` of their characters,
+    by distinct lines. Every line names the longest text that holds it, among texts of about one
+    length, and a text is compared with the ``HUBS`` texts named by most of its characters: the
+    comparisons grow with the number of texts, however many share a line.
+    """
+    found = cuts.select(*TEXT, F.size("_places").alias("_found"))
+    rows = documents.select(*text_key(), n_lines().alias("_lines")).join(small_side(found), TEXT)
+    rows = rows.filter((F.col("_found") > most_share * F.col("_lines")) & (F.col("_found") < F.col("_lines")))
+    heavy = materialize(rows.groupBy(*TEXT).agg(F.count(F.lit(1)).alias("_rows")), "heavy")
+    single = heavy.filter(F.col("_rows") == 1).select(*TEXT)
+
+    longest = 2**LENGTH_BITS - 1
+    packed = F.transform(
+        F.filter(lines_of("text"), not_blank),
+        lambda x: F.shiftleft(F.xxhash64(x), LENGTH_BITS).bitwiseOR(
+            F.least(F.length(x), F.lit(longest)).cast("long")
+        ),
+    )
+    size = lambda line: line.bitwiseAND(F.lit(longest).cast("long"))
+    total = lambda column: F.aggregate(column, F.lit(0).cast("long"), lambda n, x: n + size(x))
+    texts = documents.select(*text_key(), "text").join(small_side(single), TEXT, "left_semi")
+    texts = texts.select(*TEXT, F.array_distinct(packed).alias("_all"))
+    texts = materialize(texts.withColumn("_chars", total("_all")), "heavy-lines")
+
+    # Texts that are alike are at most one class apart, so they meet in one of their two.
+    step = F.floor(F.log(F.col("_chars").cast("double")) / F.log(F.lit(1 / ALIKE)))
+    held = texts.withColumn("_class", F.explode(F.array(step, step + 1)))
+    held = held.select(*TEXT, "_class", "_chars", F.explode("_all").alias("_line"))
+    hubs = held.groupBy("_class", "_line").agg(
+        F.max(F.struct("_chars", *TEXT)).alias("_hub"), F.count(F.lit(1)).alias("_holders")
+    )
+    hubs = materialize(hubs.filter(F.col("_holders") > 1).drop("_holders"), "hubs")
+    named = held.join(small_side(hubs), ["_class", "_line"])
+    hub = [F.col("_hub._t1").alias("_u1"), F.col("_hub._t2").alias("_u2")]
+    named = named.select(*TEXT, "_class", size(F.col("_line")).alias("_n"), *hub)
+    named = named.filter((F.col("_t1") != F.col("_u1")) | (F.col("_t2") != F.col("_u2")))
+    named = named.groupBy(*TEXT, "_class", "_u1", "_u2").agg(F.sum("_n").alias("_named"))
+    best = F.sort_array(F.collect_list(F.struct("_named", "_u1", "_u2")), False)
+    best = named.groupBy(*TEXT, "_class").agg(F.slice(best, 1, HUBS).alias("_best"))
+    pairs = best.select(*TEXT, F.explode("_best").alias("_hub")).select(*TEXT, "_hub._u1", "_hub._u2")
+    pairs = materialize(pairs.distinct(), "pairs")
+    other = texts.toDF("_u1", "_u2", "_other", "_more")
+    both = pairs.join(texts, TEXT).join(other, ["_u1", "_u2"])
+    common = total(F.array_intersect("_all", "_other"))
+    alike = both.filter(common >= ALIKE * (F.col("_chars") + F.col("_more") - common))
+    shown = alike.select(*TEXT).unionByName(alike.select(F.col("_u1").alias("_t1"), F.col("_u2").alias("_t2")))
+    exact = heavy.filter(F.col("_rows") > 1).select(*TEXT)
+    return materialize(shown.unionByName(exact).distinct(), "copies")
+
+
 def removed_lines(
-    documents: DataFrame, site: str = "source", sites: int = 10, most_share: float = 0.5
+    documents: DataFrame, site: str = "source", sites: int = 10, most_share: float = 0.5,
+    shown: bool = False,
 ) -> DataFrame:
     """The documents with all their columns, ``_lines`` (those not blank), ``_cut`` (boilerplate
-    among them) and ``_kept``, the text that stays."""
+    among them) and ``_kept``, the text that stays. More than ``most_share`` boilerplate makes a
+    copy; with ``shown`` only if ``copies`` says so too, or if there is no other line."""
     spread = boilerplate(documents, site, sites)
-    text_key = [F.xxhash64("text").alias("_t1"), F.xxhash64(F.lit(1), "text").alias("_t2")]
     # Positions of boilerplate lines, for each distinct text that has some.
-    texts = documents.select(*text_key, F.posexplode(lines_of("text")).alias("_at", "_line"))
-    lines = texts.filter(not_blank(F.col("_line"))).select("_t1", "_t2", "_at", *hashes("_line"))
+    texts = documents.select(*text_key(), F.posexplode(lines_of("text")).alias("_at", "_line"))
+    lines = texts.filter(not_blank(F.col("_line"))).select(*TEXT, "_at", *hashes("_line"))
     hits = lines.join(small_side(spread), LINE, "left_semi")
-    cuts = materialize(hits.groupBy("_t1", "_t2").agg(F.collect_set("_at").alias("_places")), "cuts")
-    rows = documents.withColumns({"_t1": text_key[0], "_t2": text_key[1]}).join(
-        cuts, ["_t1", "_t2"], "left"
-    )
-    n_lines = F.size(F.filter(lines_of("text"), not_blank))
+    cuts = materialize(hits.groupBy(*TEXT).agg(F.collect_set("_at").alias("_places")), "cuts")
+    if shown:
+        marks = small_side(copies(documents, cuts, most_share)).withColumn("_copy", F.lit(True))
+        cuts = materialize(cuts.join(marks, TEXT, "left"), "marked-cuts")
+    rows = documents.withColumns(dict(zip(TEXT, text_key()))).join(cuts, TEXT, "left")
     counted = rows.withColumns({
-        "_lines": F.when(F.col("text").isNull(), 0).otherwise(n_lines),
+        "_lines": n_lines(),
         "_found": F.when(F.col("_places").isNull(), 0).otherwise(F.size("_places")),
     })
-    copy = F.col("_found") > most_share * F.col("_lines")
+    if shown:
+        copy = F.col("_copy").isNotNull() | (F.col("_found") == F.col("_lines"))
+    else:
+        copy = F.col("_found") > most_share * F.col("_lines")
     cut = F.when(copy, 0).otherwise(F.col("_found"))
     stays = F.filter(lines_of("text"), lambda line, at: ~F.array_contains("_places", at))
     kept = F.when(cut == 0, F.col("text")).otherwise(F.array_join(stays, "\n"))
-    return counted.withColumns({"_cut": cut, "_kept": kept}).drop("_t1", "_t2", "_places")
+    return counted.withColumns({"_cut": cut, "_kept": kept}).drop(*TEXT, "_places", "_copy")
 
 
 def digest(documents: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
@@ -101,5 +176,5 @@ def digest(documents: DataFrame, id_column: str = "doc_id", **options) -> DataFr
 
 def edited(documents: DataFrame, **options) -> DataFrame:
     """The documents with boilerplate lines removed from ``text``; all else as it was."""
-    rows = removed_lines(documents, **options)
+    rows = removed_lines(documents, shown=True, **options)
     return rows.withColumn("text", F.col("_kept")).select(*documents.columns)

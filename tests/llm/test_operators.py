@@ -419,6 +419,48 @@ def test_lines_against_brute_force(spark, odd):
     assert Counter((r.doc_id, sha(r.text or "")) for r in edited.collect()) == Counter((x[0], x[4]) for x in expected)
 
 
+def test_edited_cuts_pages_that_are_mostly_boilerplate_but_no_copies(spark):
+    rng = random.Random(8)
+    prose = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    header, footer, article = "Home | News", "All rights reserved", [prose(12) for _ in range(20)]
+    rows, expected = [], {}
+
+    def add(parts, site, left):
+        rows.append((len(rows), "\n".join(parts), f"s{site}"))
+        expected[len(rows) - 1] = "\n".join(left)
+
+    for i in range(30):
+        own = prose(30)
+        add([header, own, footer], i % 12, [own])
+    for i in range(24):  # near copies: each has another line of its own
+        parts = [*article[: i % 20], prose(12), *article[i % 20 + 1 :]]
+        add(parts, i % 12, parts)
+    for i in range(2):  # one text twice
+        parts = [header, "the same line", footer]
+        add(parts, i, parts)
+    add([header, "", footer], 3, [header, "", footer])
+    add([article[0], article[1], header, "Mine", footer], 4, ["Mine"])
+    rng.shuffle(rows)
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.doc_id: r.text for r in lines.edited(table).collect()} == expected
+    assert not any(r.n_removed for r in lines.digest(table).collect())
+
+
+def test_edited_compares_few_texts_of_a_group(spark, monkeypatch):
+    write, sizes = lines.materialize, {}
+
+    def counted(df, name):
+        found = write(df, name)
+        sizes[name] = found.count()
+        return found
+
+    monkeypatch.setattr(lines, "materialize", counted)
+    rows = [(i, f"Home | News\nown {i}\nAll rights reserved", f"s{i % 12}") for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert lines.edited(table).count() == 400
+    assert sizes["heavy"] == 400 and sizes["pairs"] <= 400 * 2 * lines.HUBS
+
+
 # ---- learned operators --------------------------------------------------------
 
 
