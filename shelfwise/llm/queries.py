@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
-    decontaminate, lines, near, pieces, quality, rules, sharding, substring, token_counts, urls,
+    collocations, decontaminate, lines, near, pieces, quality, rules, sharding, substring,
+    token_counts, urls,
 )
 from shelfwise.llm.common import table
 
@@ -93,6 +94,11 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.digest(table(spark, folder, "documents"))
 
 
+@query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 ORACLES["op1_substring_dedup"] = r"""
 WITH w AS (
   SELECT row_number() OVER () AS rid, doc_id,
@@ -200,3 +206,38 @@ SELECT doc_id, n_lines, n_boilerplate, n_removed, sha256(CASE WHEN n_removed = 0
   IF NOT list_contains(places, i)], chr(10)) END) AS kept_sha256
 FROM c
 """
+
+ORACLES["op11_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, w[i : i + size - 1] AS g
+  FROM (SELECT lang, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i
+        FROM w, (VALUES (1), (2), (3)) AS sizes(size) WHERE len(w) >= size)),
+f AS (SELECT lang, g, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY lang, g),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+c AS (SELECT lang, g, f AS a FROM f WHERE len(g) > 1 AND f >= 10),
+inner_parts AS (
+  SELECT lang, part, max(a) AS most
+  FROM (SELECT lang, a, unnest([g[1:2], g[2:3]]) AS part FROM c WHERE len(g) = 3) GROUP BY lang, part),
+kept AS (
+  SELECT c.* FROM c LEFT JOIN inner_parts o ON o.lang = c.lang AND o.part = c.g
+  WHERE o.most IS NULL OR 100 * o.most < 50 * c.a),
+cut AS (
+  SELECT k.lang, k.g, k.a, k.first_words, x.f AS l, y.f AS r, 1000000 * k.a * k.a // (x.f * y.f) AS score
+  FROM (SELECT *, unnest(generate_series(1, len(g) - 1)) AS first_words FROM kept) k
+  JOIN f x ON x.lang = k.lang AND x.g = k.g[1 : k.first_words]
+  JOIN f y ON y.lang = k.lang AND y.g = k.g[k.first_words + 1 : len(k.g)]),
+low AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, first_words) = 1),
+ranked AS (
+  SELECT *, array_to_string(g, ' ') AS phrase FROM low),
+top AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+  CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM top JOIN n USING (lang) WHERE rank <= 2000
+"""
