@@ -99,7 +99,9 @@ def bm25(
     )
 
 
-def dense_index(keys: DataFrame, order: Sequence[Column | str], name: str = "idx") -> DataFrame:
+def dense_index(
+    keys: DataFrame, order: Sequence[Column | str], name: str = "idx", kind: str = "int"
+) -> DataFrame:
     """Number the rows of ``keys`` from 0 in sorted order, without a global sort in one task.
 
     Range partitions are sorted and numbered on their own and written once; the rows
@@ -121,7 +123,7 @@ def dense_index(keys: DataFrame, order: Sequence[Column | str], name: str = "idx
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(starts), "_part")
-        .withColumn(name, (F.col("_start") + row).cast("int"))
+        .withColumn(name, (F.col("_start") + row).cast(kind))
         .drop("_mark", "_part", "_start")
     )
 
