@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
-    collocations, decontaminate, lines, near, pieces, quality, rules, sharding, substring,
-    token_counts, urls,
+    collocations, decontaminate, imatch, lines, near, pieces, quality, rules, runs, sharding,
+    substring, token_counts, urls,
 )
 from shelfwise.llm.common import table
 
@@ -99,6 +99,22 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+@query
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, folder, "documents"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, folder, "documents"), insert=True)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 ORACLES["op1_substring_dedup"] = r"""
 WITH w AS (
   SELECT row_number() OVER () AS rid, doc_id,
@@ -241,3 +257,108 @@ SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(
   CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
 FROM top JOIN n USING (lang) WHERE rank <= 2000
 """
+
+ORACLES["op13_periodic_runs"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    xor(4294967295, list_reduce(
+      list_concat([4294967295], [ascii(x) FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),
+      lambda c, b: list_reduce(list_concat([xor(c, CAST(b AS BIGINT))], range(8)),
+        lambda y, z: xor(y >> 1, 3988292384 * (y & 1))))) AS h
+  FROM documents),
+g AS (SELECT *, len(w) AS n, h // 10 AS g, (h // 10) % len(w) AS a FROM d),
+t AS (
+  SELECT rid, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+    list_concat(w[1 : a], [w[a + 1 + (i % (1 + (n - a) // (3 + g % 8)))] FOR i IN range(n - a)]) ELSE w END AS w
+  FROM g),
+f AS (
+  SELECT rid, i, n // 4 AS most, md5(array_to_string(w[i : i + 4], ' ')) AS five
+  FROM (SELECT rid, w, n, unnest(generate_series(1, n - 4)) AS i FROM t WHERE n >= 6)),
+m AS (
+  SELECT x.rid, x.i, y.i - x.i AS q FROM f x JOIN f y ON x.rid = y.rid AND x.five = y.five
+  AND y.i - x.i BETWEEN 1 AND x.most),
+s AS (
+  SELECT rid, q, min(i) - 1 AS start, count(*) + 4 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM m)
+  GROUP BY rid, q, island HAVING count(*) + 4 + q >= greatest(6, 4 * q)),
+r AS (SELECT rid, start, length, min(q) AS period FROM s GROUP BY rid, start, length),
+top AS (
+  SELECT * FROM r x WHERE NOT EXISTS (
+    SELECT 1 FROM r y WHERE y.rid = x.rid AND (y.length * x.period > x.length * y.period
+      OR (y.length * x.period = x.length * y.period AND (y.start, y.period) < (x.start, x.period))))),
+listed AS (
+  SELECT rid, count(*) AS n_runs,
+    string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines
+  FROM r GROUP BY rid),
+gone AS (
+  SELECT rid, list(DISTINCT i) AS gone
+  FROM (SELECT rid, unnest(generate_series(start + period + 1, start + length)) AS i FROM r) GROUP BY rid)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start,
+  CAST(length AS BIGINT) AS length, CAST(period AS BIGINT) AS period,
+  CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE
+    [w[i] FOR i IN generate_series(1, n) IF NOT list_contains(gone, i)] END, ' ')) AS collapsed_sha256
+FROM t LEFT JOIN top USING (rid) LEFT JOIN listed USING (rid) LEFT JOIN gone USING (rid)
+"""
+
+ORACLES["op12_fingerprints"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n
+  FROM documents),
+o AS (
+  SELECT *, coalesce(lead(rid) OVER w, first_value(rid) OVER w) AS next_rid,
+    coalesce(lead(text) OVER w, first_value(text) OVER w) AS next_text
+  FROM d WINDOW w AS (ORDER BY doc_id DESC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+e AS (
+  SELECT *, concat(substring(text, 1, n - n // 3), substring(next_text, 1, n // 3)) AS edited FROM o),
+v AS (
+  SELECT rid, edited AS is_edited, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM (SELECT rid, false AS edited, text AS t FROM e UNION ALL SELECT rid, true, edited FROM e)),
+t AS (
+  SELECT rid, is_edited, unnest(list_distinct(list_filter(
+    regexp_split_to_array(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> ''))) AS term
+  FROM v),
+band AS (
+  SELECT term, sha256(term) AS s FROM t WHERE NOT is_edited GROUP BY term
+  HAVING count(*) * 50 <= (SELECT count(*) FROM d) AND count(*) * 2000 >= (SELECT count(*) FROM d)),
+lex AS (
+  SELECT term, draw, CAST(value < 32 AS INT) + CAST(value < 8 AS INT) + CAST(value < 2 AS INT) AS depth, own
+  FROM (
+    SELECT term, draw, CAST('0x' || substr(s, 3 * draw + 1, 3) AS INT) AS value,
+      CAST('0x' || substr(s, 49, 6) AS INT) AS own
+    FROM (SELECT *, unnest(range(16)) AS draw FROM band))
+  WHERE value < 128),
+held AS (
+  SELECT DISTINCT rid, is_edited, draw, depth, ((draw * 4 + depth) << 24) + own AS code FROM t JOIN lex USING (term)),
+signature AS (
+  SELECT rid, is_edited, draw, least, substr(md5(string_agg(code, ',' ORDER BY code)), 1, 6) AS signature
+  FROM (SELECT *, unnest(range(depth + 1)) AS least FROM held) GROUP BY ALL),
+places AS (SELECT rid, is_edited, draw, least FROM (SELECT DISTINCT rid, is_edited FROM held), range(16) a(draw), range(4) b(least)),
+written AS (
+  SELECT rid, is_edited, string_agg(coalesce(signature, '------'), '' ORDER BY draw, least) AS f
+  FROM places LEFT JOIN signature USING (rid, is_edited, draw, least) GROUP BY ALL),
+f AS (
+  SELECT v.rid, v.is_edited, coalesce(f, repeat(substr(md5(t), 1, 6), 64)) AS f
+  FROM v LEFT JOIN written USING (rid, is_edited)),
+x AS (
+  SELECT e.doc_id, CAST(e.n AS BIGINT) AS n_chars, sha256(e.edited) AS edited_sha256,
+    own.f AS fingerprint, changed.f AS edited_fingerprint, following.f AS following
+  FROM e JOIN f own ON own.rid = e.rid AND NOT own.is_edited
+  JOIN f changed ON changed.rid = e.rid AND changed.is_edited
+  JOIN f following ON following.rid = e.next_rid AND NOT following.is_edited),
+p AS (
+  SELECT *, [substr(fingerprint, 6 * i + 1, 6) FOR i IN range(64)] AS a,
+    [substr(edited_fingerprint, 6 * i + 1, 6) FOR i IN range(64)] AS b,
+    [substr(following, 6 * i + 1, 6) FOR i IN range(64)] AS c
+  FROM x),
+q AS (
+  SELECT *, [i FOR i IN range(1, 65) IF a[i] <> '------' OR b[i] <> '------'] AS ab,
+    [i FOR i IN range(1, 65) IF a[i] <> '------' OR c[i] <> '------'] AS ac
+  FROM p)
+SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+  CASE WHEN len(ab) = 0 THEN 1.0 ELSE len([i FOR i IN ab IF a[i] = b[i]]) / len(ab) END AS near_edited,
+  CASE WHEN len(ac) = 0 THEN 1.0 ELSE len([i FOR i IN ac IF a[i] = c[i]]) / len(ac) END AS near_next
+FROM q
+"""
