@@ -3,17 +3,17 @@
 Every line that is not blank gets a HyperLogLog sketch of the sites it stands on; sketches of one
 line merge by aggregation. An estimate well above ``sites`` makes a line boilerplate, one well
 below does not, and lines in between get an exact count of distinct sites. Boilerplate lines leave
-their documents. ``digest`` leaves a document as it is that would lose more than half of its lines
-that are not blank, as its SQL says. ``edited`` leaves such a document only if nothing else would
-stay, or if it is shown to be a copy, whose lines are on many sites because its text is;
-near-duplicate removal judges it. All others lose their boilerplate, whatever its share.
+their documents, whatever their share. A document is left whole only if no other line would stay,
+or if its text stands on several rows: a copy's lines are on many sites because the text is, and
+near-duplicate removal judges it. ``edited`` also leaves texts whole that are shown to be near
+copies of one other text (``near_copies``).
 
 Lines are parted by ``\\n`` and compared whole, by two 64-bit hashes. Null text is kept as null and
 has no lines. A null site counts for no line. Rows are edited where they stand: repeated rows are
-edited alike, all columns and rows stay, and an empty table gives an empty one.
+edited alike, all columns and rows stay whatever their names, and an empty table gives an empty one.
 
 Only DataFrame functions run here. One line on a third of all rows is summed before the shuffle;
-the boilerplate lines are written once and joined, by broadcast while their count allows it.
+the boilerplate lines are written once and joined, by broadcast while their size allows it.
 """
 
 from __future__ import annotations
@@ -28,10 +28,10 @@ LINE = ["_h1", "_h2"]
 TEXT = ["_t1", "_t2"]
 # Standard errors around the threshold within which a line is counted exactly.
 MARGIN = 4
-# A copy has this share of the characters of both texts in common with another one.
+# A near copy has this share of its characters in common with another text.
 ALIKE = 0.8
-# Texts that a text is compared with, in each of its two classes of length.
-HUBS = 4
+# A text with more boilerplate than this share of its lines may be a near copy.
+MOSTLY = 0.5
 # A line in one number: the low bits hold its length, the others a hash.
 LENGTH_BITS = 24
 
@@ -49,10 +49,16 @@ def hashes(line: Column | str) -> list[Column]:
     return [F.xxhash64(line).alias("_h1"), F.xxhash64(F.lit(1), line).alias("_h2")]
 
 
-def boilerplate(documents: DataFrame, site: str, sites: int, lg_k: int = 10) -> DataFrame:
+def nested(documents: DataFrame, site: str) -> DataFrame:
+    """``_row`` with all columns, the text and the site: no column of the input can clash."""
+    whole = F.struct(*[F.col(f"`{name}`") for name in documents.columns])
+    return documents.select(whole.alias("_row"), F.col("text"), F.col(f"`{site}`").alias("_site"))
+
+
+def boilerplate(rows: DataFrame, sites: int, lg_k: int = 10) -> DataFrame:
     """The hashes of lines on at least ``sites`` distinct sites, written to the shared folder."""
     line = F.explode(lines_of("text")).alias("_line")
-    rows = documents.filter(F.col(site).isNotNull()).select(F.col(site).alias("_site"), line)
+    rows = rows.filter(F.col("_site").isNotNull()).select("_site", line)
     rows = rows.filter(not_blank(F.col("_line"))).select(*hashes("_line"), "_site")
     spread = rows.groupBy(*LINE).agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("_site", F.lit(lg_k))).alias("_spread")
@@ -77,20 +83,19 @@ def n_lines() -> Column:
     return F.when(F.col("text").isNull(), 0).otherwise(lines)
 
 
-def copies(documents: DataFrame, cuts: DataFrame, most_share: float) -> DataFrame:
-    """Keys of the texts, among those with more than ``most_share`` boilerplate, that are copies.
+def near_copies(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Keys of the texts, among those that are mostly boilerplate, that are near copies of one more.
 
-    Two rows with one text are copies. So are two texts that share ``ALIKE`` of their characters,
-    by distinct lines. Every line names the longest text that holds it, among texts of about one
-    length, and a text is compared with the ``HUBS`` texts named by most of its characters: the
-    comparisons grow with the number of texts, however many share a line.
+    Every line names the longest text that holds it, among texts of about one length. A text is a
+    near copy if a text that one of its lines names holds ``ALIKE`` of its characters, by distinct
+    lines; the named one is, if that holds the other way round. Texts of about one length share a
+    class of length: each is in two, its own and the next. A text is compared with the texts that
+    its lines name and no others, so comparisons grow with the lines, however many texts share one.
     """
-    found = cuts.select(*TEXT, F.size("_places").alias("_found"))
-    rows = documents.select(*text_key(), n_lines().alias("_lines")).join(small_side(found), TEXT)
-    rows = rows.filter((F.col("_found") > most_share * F.col("_lines")) & (F.col("_found") < F.col("_lines")))
-    heavy = materialize(rows.groupBy(*TEXT).agg(F.count(F.lit(1)).alias("_rows")), "heavy")
-    single = heavy.filter(F.col("_rows") == 1).select(*TEXT)
-
+    heavy = cuts.filter(
+        (F.col("_rows") == 1) & (F.col("_found") > MOSTLY * F.col("_lines")) & (F.col("_found") < F.col("_lines"))
+    )
+    heavy = materialize(heavy.select(*TEXT), "heavy")
     longest = 2**LENGTH_BITS - 1
     packed = F.transform(
         F.filter(lines_of("text"), not_blank),
@@ -100,7 +105,7 @@ def copies(documents: DataFrame, cuts: DataFrame, most_share: float) -> DataFram
     )
     size = lambda line: line.bitwiseAND(F.lit(longest).cast("long"))
     total = lambda column: F.aggregate(column, F.lit(0).cast("long"), lambda n, x: n + size(x))
-    texts = documents.select(*text_key(), "text").join(small_side(single), TEXT, "left_semi")
+    texts = rows.select(*text_key(), "text").join(small_side(heavy), TEXT, "left_semi")
     texts = texts.select(*TEXT, F.array_distinct(packed).alias("_all"))
     texts = materialize(texts.withColumn("_chars", total("_all")), "heavy-lines")
 
@@ -114,59 +119,55 @@ def copies(documents: DataFrame, cuts: DataFrame, most_share: float) -> DataFram
     hubs = materialize(hubs.filter(F.col("_holders") > 1).drop("_holders"), "hubs")
     named = held.join(small_side(hubs), ["_class", "_line"])
     hub = [F.col("_hub._t1").alias("_u1"), F.col("_hub._t2").alias("_u2")]
-    named = named.select(*TEXT, "_class", size(F.col("_line")).alias("_n"), *hub)
+    named = named.select(*TEXT, *hub)
     named = named.filter((F.col("_t1") != F.col("_u1")) | (F.col("_t2") != F.col("_u2")))
-    named = named.groupBy(*TEXT, "_class", "_u1", "_u2").agg(F.sum("_n").alias("_named"))
-    best = F.sort_array(F.collect_list(F.struct("_named", "_u1", "_u2")), False)
-    best = named.groupBy(*TEXT, "_class").agg(F.slice(best, 1, HUBS).alias("_best"))
-    pairs = best.select(*TEXT, F.explode("_best").alias("_hub")).select(*TEXT, "_hub._u1", "_hub._u2")
+    pairs = named.select(*TEXT, "_u1", "_u2")
     pairs = materialize(pairs.distinct(), "pairs")
     other = texts.toDF("_u1", "_u2", "_other", "_more")
     both = pairs.join(texts, TEXT).join(other, ["_u1", "_u2"])
     common = total(F.array_intersect("_all", "_other"))
-    alike = both.filter(common >= ALIKE * (F.col("_chars") + F.col("_more") - common))
-    shown = alike.select(*TEXT).unionByName(alike.select(F.col("_u1").alias("_t1"), F.col("_u2").alias("_t2")))
-    exact = heavy.filter(F.col("_rows") > 1).select(*TEXT)
-    return materialize(shown.unionByName(exact).distinct(), "copies")
+    both = both.select(*TEXT, "_u1", "_u2", "_chars", "_more", common.alias("_common"))
+    here = both.filter(F.col("_common") >= ALIKE * F.col("_chars")).select(*TEXT)
+    there = both.filter(F.col("_common") >= ALIKE * F.col("_more")).select(F.col("_u1").alias("_t1"), F.col("_u2").alias("_t2"))
+    shown = here.unionByName(there)
+    return materialize(shown.distinct(), "copies")
 
 
 def removed_lines(
-    documents: DataFrame, site: str = "source", sites: int = 10, most_share: float = 0.5,
-    shown: bool = False,
+    documents: DataFrame, site: str = "source", sites: int = 10, spare_near_copies: bool = False
 ) -> DataFrame:
-    """The documents with all their columns, ``_lines`` (those not blank), ``_cut`` (boilerplate
-    among them) and ``_kept``, the text that stays. More than ``most_share`` boilerplate makes a
-    copy; with ``shown`` only if ``copies`` says so too, or if there is no other line."""
-    spread = boilerplate(documents, site, sites)
-    # Positions of boilerplate lines, for each distinct text that has some.
-    texts = documents.select(*text_key(), F.posexplode(lines_of("text")).alias("_at", "_line"))
-    lines = texts.filter(not_blank(F.col("_line"))).select(*TEXT, "_at", *hashes("_line"))
+    """Per document ``_row`` with all its columns, ``_lines`` (those not blank), ``_found``
+    (boilerplate among them), ``_cut`` (those that leave) and ``_kept``, the text that stays."""
+    rows = nested(documents, site)
+    spread = boilerplate(rows, sites)
+    # Positions of boilerplate lines, for each distinct text that has some, and its rows.
+    texts = rows.select(*text_key(), n_lines().alias("_lines"), F.posexplode(lines_of("text")).alias("_at", "_line"))
+    lines = texts.filter(not_blank(F.col("_line"))).select(*TEXT, "_lines", "_at", *hashes("_line"))
     hits = lines.join(small_side(spread), LINE, "left_semi")
-    cuts = materialize(hits.groupBy(*TEXT).agg(F.collect_set("_at").alias("_places")), "cuts")
-    if shown:
-        marks = small_side(copies(documents, cuts, most_share)).withColumn("_copy", F.lit(True))
+    cuts = hits.groupBy(*TEXT, "_lines").agg(F.collect_set("_at").alias("_places"), F.count(F.lit(1)).alias("_hits"))
+    found = F.size("_places")
+    cuts = materialize(cuts.select(*TEXT, "_lines", "_places", found.alias("_found"), (F.col("_hits") / found).alias("_rows")), "cuts")
+    spared = (F.col("_found") == F.col("_lines")) | (F.col("_rows") > 1)
+    if spare_near_copies:
+        marks = small_side(near_copies(rows, cuts)).withColumn("_near", F.lit(True))
         cuts = materialize(cuts.join(marks, TEXT, "left"), "marked-cuts")
-    rows = documents.withColumns(dict(zip(TEXT, text_key()))).join(cuts, TEXT, "left")
-    counted = rows.withColumns({
-        "_lines": n_lines(),
-        "_found": F.when(F.col("_places").isNull(), 0).otherwise(F.size("_places")),
-    })
-    if shown:
-        copy = F.col("_copy").isNotNull() | (F.col("_found") == F.col("_lines"))
-    else:
-        copy = F.col("_found") > most_share * F.col("_lines")
-    cut = F.when(copy, 0).otherwise(F.col("_found"))
+        spared = spared | F.col("_near").isNotNull()
+    cuts = cuts.select(*TEXT, "_places", "_found", F.when(spared, 0).otherwise(F.col("_found")).alias("_cut"))
+    edited = rows.withColumns(dict(zip(TEXT, text_key()))).join(cuts, TEXT, "left")
     stays = F.filter(lines_of("text"), lambda line, at: ~F.array_contains("_places", at))
-    kept = F.when(cut == 0, F.col("text")).otherwise(F.array_join(stays, "\n"))
-    return counted.withColumns({"_cut": cut, "_kept": kept}).drop(*TEXT, "_places", "_copy")
+    cut = F.coalesce("_cut", F.lit(0))
+    return edited.select(
+        "_row", n_lines().alias("_lines"), F.coalesce("_found", F.lit(0)).alias("_found"), cut.alias("_cut"),
+        F.when(cut == 0, F.col("text")).otherwise(F.array_join(stays, "\n")).alias("_kept"),
+    )
 
 
-def digest(documents: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
+def digest(documents: DataFrame, id_column: str = "doc_id", site: str = "source", sites: int = 10) -> DataFrame:
     """One row per document: lines that are not blank, those removed, those that were boilerplate,
     and the SHA-256 of the text that stays (null: the empty text)."""
-    rows = removed_lines(documents.select(id_column, "text", options.get("site", "source")), **options)
+    rows = removed_lines(documents.select(id_column, "text", site), site, sites)
     return rows.select(
-        id_column,
+        F.col(f"_row.{id_column}").alias(id_column),
         F.col("_lines").cast("long").alias("n_lines"),
         F.col("_found").cast("long").alias("n_boilerplate"),
         F.col("_cut").cast("long").alias("n_removed"),
@@ -176,5 +177,8 @@ def digest(documents: DataFrame, id_column: str = "doc_id", **options) -> DataFr
 
 def edited(documents: DataFrame, **options) -> DataFrame:
     """The documents with boilerplate lines removed from ``text``; all else as it was."""
-    rows = removed_lines(documents, shown=True, **options)
-    return rows.withColumn("text", F.col("_kept")).select(*documents.columns)
+    rows = removed_lines(documents, spare_near_copies=True, **options)
+    return rows.select(*[
+        F.col("_kept").alias(name) if name == "text" else F.col(f"_row.`{name}`").alias(name)
+        for name in documents.columns
+    ])

@@ -470,11 +470,20 @@ def labelled(documents: DataFrame, size: int = 2, percent: int = 80, id_column:
 def unique(documents: DataFrame, size: int = 5, percent: int = 80, id_column: str = "doc_id") -> DataFrame:
     """The document with the least id of each component, with all its columns.
 
-    Equal rows of one id and text become one; documents without an id all stay.
+    Rows of one id and text become one, the one whose columns have the least hash; documents
+    without an id all stay. Only ids on several rows are shuffled with their columns.
     """
     found = groups(documents, size, percent, id_column)
-    stays = found.filter("_id = _root").select(F.col("_id").alias("_stays")).distinct()
-    named = documents.filter(F.col(id_column).isNotNull())
-    kept = named.join(stays, F.col(id_column).cast("long") == F.col("_stays"), "left_semi")
-    kept = kept.dropDuplicates([id_column, "text"])
-    return kept.unionByName(documents.filter(F.col(id_column).isNull()))
+    stays = found.filter("_id = _root").groupBy("_id").agg(F.count(F.lit(1)).alias("_n"))
+    stays = stored(stays, "stays")
+    # Nested, so that no column of the input can clash.
+    whole = F.struct(*[F.col(f"`{name}`") for name in documents.columns]).alias("_row")
+    rows = documents.select(F.col(f"`{id_column}`").cast("long").alias("_id"), whole)
+    one = rows.join(small_side(stays.filter("_n = 1").select("_id")), "_id", "left_semi")
+    many = rows.join(small_side(stays.filter("_n > 1").select("_id")), "_id", "left_semi")
+    text = F.col("_row.text")
+    least = F.min_by("_row", F.xxhash64(F.to_json("_row")))
+    many = many.groupBy("_id", F.xxhash64(text), F.xxhash64(F.lit(1), text)).agg(least.alias("_row"))
+    kept = one.select("_row").unionByName(many.select("_row"))
+    kept = kept.unionByName(rows.filter(F.col("_id").isNull()).select("_row"))
+    return kept.select(*[F.col(f"_row.`{name}`").alias(name) for name in documents.columns])

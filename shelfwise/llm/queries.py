@@ -214,7 +214,7 @@ n AS (
   FROM l LEFT JOIN wide USING (line) GROUP BY rid),
 c AS (
   SELECT d.*, coalesce(n_lines, 0) AS n_lines, coalesce(n_boilerplate, 0) AS n_boilerplate, places,
-    CASE WHEN coalesce(n_boilerplate, 0) > 0.5 * coalesce(n_lines, 0) THEN 0
+    CASE WHEN n_boilerplate = n_lines OR count(*) OVER (PARTITION BY text) > 1 THEN 0
       ELSE coalesce(n_boilerplate, 0) END AS n_removed
   FROM d LEFT JOIN n USING (rid))
 SELECT doc_id, n_lines, n_boilerplate, n_removed, sha256(CASE WHEN n_removed = 0
