@@ -433,3 +433,10 @@ ORACLES: dict[str, str] = {
                OR ((line LIKE '%ERROR%' OR line LIKE '%Traceback%')
                    AND job_id IN (SELECT job_id FROM alarmed)))""",
 }
+
+# Whatever the solver and the regularisation, every vector must solve its own equations.
+ORACLES |= {
+    "als_residual_sliced": ORACLES["als_residual"],
+    "als_residual_constant": ORACLES["als_residual"],
+    "als_customer_residual_constant": ORACLES["als_customer_residual"],
+}

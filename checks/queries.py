@@ -6,6 +6,7 @@ Doubles are rounded to six decimals, as in the SQL twins. Ties go to the smaller
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -420,33 +421,59 @@ def als_customer_factors(t: Tables) -> DataFrame:
 SOLVED = 1e-3
 
 
-@query("als_residual")
-def als_residual(t: Tables) -> DataFrame:
+def _order_residual(t: Tables, config: RecommendationConfig) -> DataFrame:
     """Every entity's positive cells, and whether its vector solves its normal equations."""
-    fitted = _order_factors(t, ORDERS)
+    fitted = _order_factors(t, config)
     cells = _weighted(t).where(F.col("weight") > 0).select(
         *ENTITY, "item_id", F.col("weight").cast("float").alias("rating")
     )
     found = factors.residuals(
-        cells, fitted.entities, fitted.items, ENTITY, ORDERS.factors, ORDERS.regularization
+        cells, fitted.entities, fitted.items, ENTITY, config.factors, config.regularization,
+        config.scale_regularization,
     )
     return found.select(*ENTITY, "n_cells", (F.col("residual") <= SOLVED).alias("solved"))
 
 
-@query("als_customer_residual")
-def als_customer_residual(t: Tables) -> DataFrame:
-    counts = tables.transaction_counts(t.transactions(), t.transaction_lines(), SIMILAR, t.as_of())
-    customers, items = jobs.customer_and_item_factors(counts, SIMILAR)
-    cells = matrix.count_cells(counts, SIMILAR.confidence_alpha).withColumn(
+def _customer_residual(t: Tables, config: SimilarityConfig) -> DataFrame:
+    counts = tables.transaction_counts(t.transactions(), t.transaction_lines(), config, t.as_of())
+    customers, items = jobs.customer_and_item_factors(counts, config)
+    cells = matrix.count_cells(counts, config.confidence_alpha).withColumn(
         "rating", F.col("weight").cast("float")
     )
     found = factors.residuals(
         cells, materialize(customers, "residual-customers"), materialize(items, "residual-items"),
-        ["customer_id"], SIMILAR.factors, SIMILAR.regularization,
+        ["customer_id"], config.factors, config.regularization, config.scale_regularization,
     )
     return found.select("customer_id", "n_cells", (F.col("residual") <= SOLVED).alias("solved"))
 
 
+@query("als_residual")
+def als_residual(t: Tables) -> DataFrame:
+    return _order_residual(t, ORDERS)
+
+
+@query("als_residual_sliced")
+def als_residual_sliced(t: Tables) -> DataFrame:
+    """Fitted by partial normal equations, every key of more than 50 cells in slices."""
+    return _order_residual(t, replace(ORDERS, solver="slices", hot_cells=50))
+
+
+@query("als_residual_constant")
+def als_residual_constant(t: Tables) -> DataFrame:
+    """With the same regularisation for every key."""
+    return _order_residual(t, replace(ORDERS, scale_regularization=False))
+
+
+@query("als_customer_residual")
+def als_customer_residual(t: Tables) -> DataFrame:
+    return _customer_residual(t, SIMILAR)
+
+
+@query("als_customer_residual_constant")
+def als_customer_residual_constant(t: Tables) -> DataFrame:
+    return _customer_residual(t, replace(SIMILAR, scale_regularization=False, hot_cells=50))
+
+
 def order_job(t: Tables, config: RecommendationConfig) -> DataFrame:
     stats = tables.reorder_stats(t.reorder_stats())
     return jobs.recommend(_order_factors(t, config), stats, None, config)

@@ -103,9 +103,15 @@ class RecommendationConfig(FromOptions):
     min_span: float = 1e-4
     rank_blend: float = 0.30
     seed: int = 7
-    # Blocks per side of the factorisation; another number gives other factors for the same seed.
+    # Blocks per side of Spark ML's solver; another number gives other factors for the same seed.
     # A billion cells in 32 x 32 blocks are about a million cells (12 MB) each.
     blocks: int = 32
+    # "blocks" (Spark ML), "slices" (partial normal equations), or "auto": see operators.factors.fit.
+    solver: str = "auto"
+    # Whether the regularisation is multiplied by the number of cells of a key.
+    scale_regularization: bool = True
+    # Cells of one key beyond which it is solved in slices of that size.
+    hot_cells: int = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -127,6 +133,12 @@ class SimilarityConfig(FromOptions):
     blend_alpha: float = 0.60
     min_overlap_items: int = 3
     seed: int = 7
-    # Blocks per side of the factorisation; another number gives other factors for the same seed.
+    # Blocks per side of Spark ML's solver; another number gives other factors for the same seed.
     # A billion cells in 32 x 32 blocks are about a million cells (12 MB) each.
     blocks: int = 32
+    # "blocks" (Spark ML), "slices" (partial normal equations), or "auto": see operators.factors.fit.
+    solver: str = "auto"
+    # Whether the regularisation is multiplied by the number of cells of a key.
+    scale_regularization: bool = True
+    # Cells of one key beyond which it is solved in slices of that size.
+    hot_cells: int = 1_000_000

@@ -56,14 +56,7 @@ def fit_order_factors(interactions: DataFrame, config: RecommendationConfig) ->
     if ratings.isEmpty():
         users = goods = no_factors(found.sparkSession)
     else:
-        model = factors.fit_implicit(
-            ratings,
-            rank=rank,
-            regularization=config.regularization,
-            iterations=config.iterations,
-            seed=config.seed,
-            blocks=config.blocks,
-        )
+        model = factors.fit(ratings, config)
         users, goods = model.userFactors, model.itemFactors
     entity_factors = factors.attach(entities, users, "user_idx", rank)
     item_factors = factors.attach(items, goods, "item_idx", rank)
@@ -139,14 +132,7 @@ def customer_and_item_factors(
         .select("user_idx", "item_idx", F.col("weight").cast("float").alias("rating")),
         "ratings",
     )
-    model = factors.fit_implicit(
-        ratings,
-        rank=config.factors,
-        regularization=config.regularization,
-        iterations=config.iterations,
-        seed=config.seed,
-        blocks=config.blocks,
-    )
+    model = factors.fit(ratings, config)
     customer_factors = factors.attach(customers, model.userFactors, "user_idx", config.factors)
     item_factors = factors.attach(items, model.itemFactors, "item_idx", config.factors)
     return customer_factors.select("customer_id", "features"), item_factors.select("item_id", "features")
