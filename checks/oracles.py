@@ -409,11 +409,21 @@ ORACLES: dict[str, str] = {
                1.0::DOUBLE AS first_rank, k::DOUBLE AS last_rank, true AS mm_from_0,
                true AS mm_to_1, true AS raw_is_cosine
         FROM lines, n""",
+    "order_recommendations": "WITH " + LINES + """,
+        n AS (SELECT least(200, count(DISTINCT item_id)) AS k FROM lines),
+        entities AS (SELECT DISTINCT customer_id, sales_org_id FROM lines)
+        SELECT customer_id, sales_org_id, rank::DOUBLE AS als_score_rank, 'als' AS source,
+               true AS has_item, true AS raw_is_cosine, true AS mm_is_share
+        FROM entities, (SELECT unnest(generate_series(1, k)) AS rank FROM n)""",
+    "similar_customers": "WITH " + COUNTS + "," + ATTRIBUTES + """
+        SELECT DISTINCT customer_id, true AS norm_fits, true AS final_is_cosine,
+               true AS listed_if_asking
+        FROM counts JOIN attributes USING (customer_id) WHERE segment_id IS NOT NULL""",
     "similar_customers_shape": "WITH " + COUNTS + "," + ATTRIBUTES + """,
         active AS (SELECT DISTINCT customer_id, segment_id
                    FROM counts JOIN attributes USING (customer_id) WHERE segment_id IS NOT NULL),
         others AS (SELECT customer_id, count(*) OVER (PARTITION BY segment_id) - 1 AS n FROM active)
-        SELECT customer_id, least(n, 100) AS n_neighbors, least(n, 100) AS n_distinct,
+        SELECT customer_id, least(n, 100) AS n_others, true AS is_full, true AS is_distinct,
                0::BIGINT AS n_self, true AS is_cosine FROM others WHERE n > 0""",
     "run_ledger": "WITH " + RUNS + " SELECT * FROM timed",
     "run_ledger_filtered": "WITH " + RUNS + """
@@ -434,8 +444,9 @@ ORACLES: dict[str, str] = {
                    AND job_id IN (SELECT job_id FROM alarmed)))""",
 }
 
-# Whatever the solver and the regularisation, every vector must solve its own equations.
+# The same rows by another way: watched counts, another solver, another regularisation.
 ORACLES |= {
+    "job_profile": ORACLES["matrix_profile"],
     "als_residual_sliced": ORACLES["als_residual"],
     "als_residual_constant": ORACLES["als_residual"],
     "als_customer_residual_constant": ORACLES["als_customer_residual"],

@@ -14,20 +14,18 @@ from pyspark.sql import functions as F
 from checks.standins import Tables
 from shelfwise.config import RecommendationConfig, SimilarityConfig
 from shelfwise.functions.keys import ENTITY, entity_key, key_customer, key_org, sales_org
-from shelfwise.functions.vectors import l2_norm, l2_unit
+from shelfwise.functions.vectors import NORM_FLOOR, l2_norm, l2_unit
 from shelfwise.operators import factors, matrix, neighbors, ranking
 from shelfwise.plans import jobs, runs
 from shelfwise.session import materialize, scratch_path
 from shelfwise.sinks import tables as sinks
+from shelfwise.sinks import versions
 from shelfwise.sources import tables
 
 ORDERS = RecommendationConfig()
 STOCKED = RecommendationConfig(filter_out_of_stock=True)
 WAREHOUSE = RecommendationConfig(filter_out_of_stock=True, warehouse_id=3)
 SIMILAR = SimilarityConfig()
-# After 25 iterations customers who share no item with others have vectors of length 1e-29 and so
-# no neighbours; which ones, SQL cannot foresee. The check of full lists stops before that.
-SHORT_FIT = SimilarityConfig(factors=8, iterations=5, top_m=100)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -156,6 +154,13 @@ def matrix_profile(t: Tables) -> DataFrame:
     return matrix.profile(tables.interactions(t.interactions(), ORDERS))
 
 
+@query("job_profile")
+def job_profile(t: Tables) -> DataFrame:
+    """The same numbers, seen by the job while it writes its tables."""
+    built = jobs.order_matrix(tables.interactions(t.interactions(), ORDERS))
+    return t.spark.createDataFrame([built.profile], jobs.PROFILE)
+
+
 def _weighted(t: Tables) -> DataFrame:
     return matrix.bm25(materialize(_cells(t), "cells"), ORDERS)
 
@@ -348,8 +353,8 @@ def recommend_from_vectors(t: Tables) -> DataFrame:
 def sink_recs(t: Tables) -> DataFrame:
     recs = sinks.recommendation_table(_backfilled(t))
     path = scratch_path(t.spark, "user_rec_als")
-    sinks.replace_files(recs, path)
-    return rounded(t.spark.read.parquet(path), "als_score_raw", "als_score_mm")
+    versions.publish(recs, path)
+    return rounded(versions.published(t.spark, path), "als_score_raw", "als_score_mm")
 
 
 @query("sink_staged")
@@ -357,9 +362,9 @@ def sink_staged(t: Tables) -> DataFrame:
     """A second write replaces the first as a whole."""
     wide = neighbors.factors_wide(t.taste_vectors(["customer_id"]), 64)
     path = scratch_path(t.spark, "als_customer_factors_wide")
-    sinks.replace_files(neighbors.factors_wide(t.vectors(), 64), path)
-    sinks.replace_files(wide, path)
-    stored = t.spark.read.parquet(path)
+    versions.publish(neighbors.factors_wide(t.vectors(), 64), path)
+    versions.publish(wide, path)
+    stored = versions.published(t.spark, path)
     return rounded(stored, *stored.columns[1:])
 
 
@@ -481,7 +486,15 @@ def order_job(t: Tables, config: RecommendationConfig) -> DataFrame:
 
 @query("order_recommendations")
 def order_recommendations(t: Tables) -> DataFrame:
-    return order_job(t, ORDERS)
+    """Every row of the job without what only the fit decides: which item, and its scores."""
+    return order_job(t, ORDERS).select(
+        *ENTITY,
+        "als_score_rank",
+        "source",
+        F.col("item_id").isNotNull().alias("has_item"),
+        (F.abs("als_score_raw") <= 1 + 1e-9).alias("raw_is_cosine"),
+        F.col("als_score_mm").between(0, 1).alias("mm_is_share"),
+    )
 
 
 @query("order_recommendations_shape")
@@ -508,20 +521,64 @@ def customer_job(t: Tables, config: SimilarityConfig) -> jobs.CustomerSimilarity
     )
 
 
+def _lists_of_all(t: Tables) -> DataFrame:
+    """Per active customer with a segment: whether its vector can ask, and what its list holds.
+
+    After 25 iterations customers who share no item with others have vectors of length 1e-29, and
+    no neighbours; which ones, SQL cannot foresee, so a list is held against its vector here.
+    """
+    found = customer_job(t, SIMILAR)
+    rows = materialize(found.neighbors, "neighbors")
+    lists = rows.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("neighbor_id").alias("n_distinct"),
+        F.sum((F.col("neighbor_id") == F.col("customer_id")).cast("bigint")).alias("n_self"),
+        F.max(F.abs("sim_als")).alias("most"),
+        F.min(F.col("sim_als").eqNullSafe(F.col("sim_final")).cast("int")).alias("same"),
+    )
+    blocks = tables.block_attributes(t.customer_attr(), SIMILAR.block_scope)
+    wide = materialize(found.factors_wide, "wide")
+    length = F.sqrt(sum((F.col(f"f{k}") ** 2 for k in range(1, SIMILAR.factors + 1)), F.lit(0.0)))
+    asks = wide.select(
+        "customer_id",
+        (F.col("l2_norm") > NORM_FLOOR).alias("asks"),
+        (F.abs(F.col("l2_norm") - length) <= 1e-6 * length).alias("norm_fits"),
+    )
+    active = asks.join(blocks, "customer_id").where(F.col("block").isNotNull())
+    sizes = materialize(active.groupBy("block").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    return active.join(sizes, "block").join(lists, "customer_id", "left").select(
+        "customer_id",
+        "norm_fits",
+        F.least(F.col("size") - 1, F.lit(SIMILAR.top_m)).cast("bigint").alias("n_others"),
+        *[F.coalesce(name, F.lit(0)).alias(name) for name in ("n", "n_distinct", "n_self")],
+        "asks",
+        F.coalesce("most", F.lit(0.0)).alias("most"),
+        F.coalesce("same", F.lit(1)).alias("same"),
+    )
+
+
 @query("similar_customers")
 def similar_customers(t: Tables) -> DataFrame:
-    return customer_job(t, SIMILAR).neighbors
+    """Both outputs of the job, without what only the fit decides."""
+    return _lists_of_all(t).select(
+        "customer_id",
+        "norm_fits",
+        (F.col("same") == 1).alias("final_is_cosine"),
+        (F.col("n") > 0).eqNullSafe(F.col("asks") & (F.col("n_others") > 0)).alias("listed_if_asking"),
+    )
 
 
 @query("similar_customers_shape")
 def similar_customers_shape(t: Tables) -> DataFrame:
-    """Every customer with active others in its segment gets a full list, itself never in it."""
-    rows = customer_job(t, SHORT_FIT).neighbors
-    return rows.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("n_neighbors"),
-        F.count_distinct("neighbor_id").alias("n_distinct"),
-        F.sum((F.col("neighbor_id") == F.col("customer_id")).cast("bigint")).alias("n_self"),
-        (F.max(F.abs("sim_als")) <= 1 + 1e-9).alias("is_cosine"),
+    """Every customer with a vector and active others in its segment gets a full list of others."""
+    full = F.when(F.col("asks"), F.col("n_others")).otherwise(0)
+    return _lists_of_all(t).where("n_others > 0").select(
+        "customer_id",
+        "n_others",
+        (F.col("n") == full).alias("is_full"),
+        (F.col("n_distinct") == F.col("n")).alias("is_distinct"),
+        "n_self",
+        (F.col("most") <= 1 + 1e-9).alias("is_cosine"),
     )
 
 

@@ -10,14 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a few numbers each: about 100 MB as a broadcast table.
+# The most rows of a broadcast table, and about the most bytes that its hash table takes.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 48 << 20
+# Of each row beside its values.
+ROW_OVERHEAD = 24
 
 
 def small_side(keyed: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a written table of narrow rows for broadcast where its count allows it.
 
-    The large side then stays where it is, hot keys included. Beyond the bound the
-    planner shuffles both sides.
+    Bytes are reckoned from the types (text as 20 bytes, which suits keys and names). The large
+    side then stays where it is, hot keys included. Beyond the bounds the planner shuffles both.
     """
-    return F.broadcast(keyed) if keyed.count() <= most else keyed
+    width = keyed._jdf.schema().defaultSize() + ROW_OVERHEAD
+    return F.broadcast(keyed) if keyed.count() <= min(most, BROADCAST_BYTES // width) else keyed

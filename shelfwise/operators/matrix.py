@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from shelfwise.config import RecommendationConfig
@@ -54,6 +54,42 @@ def profile(interactions: DataFrame) -> DataFrame:
     )
 
 
+class Watch:
+    """The numbers of ``profile``, counted while the tables are written anyway.
+
+    Wrap each frame in the call that names it, then write it; ``profile`` has the numbers once all
+    four are written. Nothing is read again.
+    """
+
+    def __init__(self):
+        self._seen = {name: Observation() for name in ("rows", "cells", "entities", "items")}
+
+    def rows(self, interactions: DataFrame) -> DataFrame:
+        return interactions.observe(
+            self._seen["rows"],
+            F.count(F.lit(1)).alias("n_rows"),
+            F.min("customer_id").alias("min_customer_id"),
+            F.max("customer_id").alias("max_customer_id"),
+            F.min("item_id").alias("min_item_id"),
+            F.max("item_id").alias("max_item_id"),
+        )
+
+    def _counted(self, df: DataFrame, name: str) -> DataFrame:
+        return df.observe(self._seen[name], F.count(F.lit(1)).alias(f"n_{name}"))
+
+    def cells(self, found: DataFrame) -> DataFrame:
+        return self._counted(found, "cells")
+
+    def entities(self, entities: DataFrame) -> DataFrame:
+        return self._counted(entities, "entities")
+
+    def items(self, items: DataFrame) -> DataFrame:
+        return self._counted(items, "items")
+
+    def profile(self) -> dict[str, int | None]:
+        return {key: value for seen in self._seen.values() for key, value in seen.get.items()}
+
+
 def entity_lengths(found: DataFrame) -> DataFrame:
     return found.groupBy(*ENTITY).agg(F.sum("weight").alias("length"))
 

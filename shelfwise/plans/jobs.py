@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
@@ -14,7 +15,7 @@ from shelfwise.config import RecommendationConfig, SimilarityConfig
 from shelfwise.functions.keys import ENTITY
 from shelfwise.operators import factors, matrix, neighbors, ranking
 from shelfwise.operators.joins import small_side
-from shelfwise.session import materialize, scratch_run
+from shelfwise.session import keep, kept, materialize, scratch_run
 from shelfwise.sinks import tables as sinks
 from shelfwise.sinks.tables import Target
 from shelfwise.sources import tables
@@ -26,6 +27,13 @@ log = logging.getLogger(__name__)
 # ---- order recommendations -------------------------------------------------
 
 
+# Fixed types: the numbers that a run reports about its matrix.
+PROFILE = (
+    "n_rows bigint, min_customer_id bigint, max_customer_id bigint, min_item_id bigint, "
+    "max_item_id bigint, n_cells bigint, n_entities bigint, n_items bigint"
+)
+
+
 @dataclass(frozen=True)
 class OrderFactors:
     """(customer_id, sales_org_id, features) and (item_id, features)."""
@@ -34,14 +42,40 @@ class OrderFactors:
     items: DataFrame
 
 
-def fit_order_factors(interactions: DataFrame, config: RecommendationConfig) -> OrderFactors:
-    """Weigh the matrix and factorise it. ``interactions`` is typed and log-scaled."""
-    found = materialize(matrix.cells(interactions), "cells")
+@dataclass(frozen=True)
+class OrderMatrix:
+    """The cells with their index, written, and the numbers seen on the way (``matrix.Watch``)."""
+
+    cells: DataFrame
+    entities: DataFrame
+    items: DataFrame
+    profile: dict[str, int | None]
+
+
+def order_matrix(interactions: DataFrame) -> OrderMatrix:
+    """Add up and number the matrix. ``interactions`` is typed and log-scaled."""
+    watch = matrix.Watch()
+    found = materialize(watch.cells(matrix.cells(watch.rows(interactions))), "cells")
     if found.isEmpty():
         raise ValueError("no usable interactions")
     # Counted and joined more than once, so written.
-    entities = materialize(matrix.entity_index(matrix.entity_lengths(found)), "entities")
-    items = materialize(matrix.item_index(matrix.item_holders(found)), "items")
+    entities = matrix.entity_index(matrix.entity_lengths(found))
+    entities = materialize(watch.entities(entities), "entities")
+    items = materialize(watch.items(matrix.item_index(matrix.item_holders(found))), "items")
+    profile = watch.profile()
+    log.info("matrix: %s", ", ".join(f"{name} {value}" for name, value in profile.items()))
+    return OrderMatrix(found, entities, items, profile)
+
+
+def fit_order_factors(interactions: DataFrame, config: RecommendationConfig) -> OrderFactors:
+    """Weigh the matrix and factorise it. A run that broke after its fit does not fit again."""
+    spark = interactions.sparkSession
+    done = kept(spark, "entity-factors"), kept(spark, "item-factors")
+    if done[0] is not None and done[1] is not None:
+        log.info("the factors of an earlier try are used")
+        return OrderFactors(*done)
+    built = order_matrix(interactions)
+    found, entities, items = built.cells, built.entities, built.items
     weighted = matrix.bm25(found, config, entities, items)
     # The sign of a weight is the item's alone: an item held by nearly everyone has no
     # positive cell, its factors are zero, and it moves nobody's. Leaving such cells out
@@ -61,8 +95,8 @@ def fit_order_factors(interactions: DataFrame, config: RecommendationConfig) ->
     entity_factors = factors.attach(entities, users, "user_idx", rank)
     item_factors = factors.attach(items, goods, "item_idx", rank)
     return OrderFactors(
-        materialize(entity_factors.select(*ENTITY, "features"), "entity-factors"),
-        materialize(item_factors.select("item_id", "features"), "item-factors"),
+        keep(entity_factors.select(*ENTITY, "features"), "entity-factors"),
+        keep(item_factors.select("item_id", "features"), "item-factors"),
     )
 
 
@@ -119,13 +153,15 @@ def customer_and_item_factors(
     counts: DataFrame, config: SimilarityConfig
 ) -> tuple[DataFrame, DataFrame] | None:
     """(customer_id, features) and (item_id, features), or None without transactions."""
-    found = materialize(matrix.count_cells(counts, config.confidence_alpha), "counts")
+    watch = matrix.Watch()
+    cells = matrix.count_cells(counts, config.confidence_alpha)
+    found = materialize(watch.cells(watch.rows(cells)), "counts")
     if found.isEmpty():
         return None
-    customers = materialize(matrix.dense_index(
-        found.select("customer_id").distinct(), ["customer_id"], "user_idx"
-    ), "customers")
-    items = materialize(matrix.item_index(found.select("item_id").distinct()), "items")
+    customers = matrix.dense_index(found.select("customer_id").distinct(), ["customer_id"], "user_idx")
+    customers = materialize(watch.entities(customers), "customers")
+    items = materialize(watch.items(matrix.item_index(found.select("item_id").distinct())), "items")
+    log.info("matrix: %s", ", ".join(f"{name} {value}" for name, value in watch.profile().items()))
     ratings = materialize(
         found.join(small_side(customers), "customer_id")
         .join(small_side(items), "item_id")
@@ -146,10 +182,14 @@ def fit_customer_factors(
     Written once with the block beside the vector: the wide table and both sides of the
     neighbour search read it back.
     """
+    done = kept(counts.sparkSession, "customer-factors")
+    if done is not None:
+        log.info("the factors of an earlier try are used")
+        return done
     found = customer_and_item_factors(counts, config)
     if found is None:
         return None
-    return materialize(neighbors.with_blocks(found[0], blocks), "customer-factors")
+    return keep(neighbors.with_blocks(found[0], blocks), "customer-factors")
 
 
 @dataclass(frozen=True)
@@ -216,20 +256,44 @@ def check_inputs(spark: SparkSession, source: TenantSource, names: list[str]) ->
         tables.require_columns(source.table(spark, name), name, INPUTS[name])
 
 
+def file_mark(table: DataFrame) -> str:
+    """A mark of the files of a table: their names, lengths and times, in whatever order."""
+    files = table.select(
+        F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").alias("mark")
+    ).distinct()
+    row = files.agg(F.count(F.lit(1)).alias("n"), F.bit_xor("mark").alias("mark")).head()
+    return f"{row.n}:{row.mark}"
+
+
+def run_key(spark: SparkSession, source: TenantSource, names: list[str], *settings: object) -> str:
+    """The same for runs of the same tables, configuration and further settings."""
+    if source.jdbc is not None:
+        raise ValueError("only tables of files can be resumed")
+    parts = [source.name, *map(repr, settings)]
+    for name in names:
+        table = source.optional_table(spark, name)
+        parts.append(f"{name}={None if table is None else file_mark(table)}")
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()[:32]
+
+
 def run_order_recommendations(
     spark: SparkSession,
     source: TenantSource,
     target: Target,
     config: RecommendationConfig | None = None,
     dry_run: bool = False,
+    resume: bool = False,
 ) -> bool:
+    """With ``resume`` a run that breaks keeps its fit, and the next run of the same files and
+    configuration starts from there."""
     config = config or RecommendationConfig()
     names = ["vw_interactions", "customer_item_reorder_stats"]
     check_inputs(spark, source, names + ["inventory_onhand"] * config.filter_out_of_stock)
     if dry_run:
         order_inputs(spark, source, config)
         return False
-    with scratch_run(spark):
+    key = run_key(spark, source, names[:1], "orders", config) if resume else None
+    with scratch_run(spark, key):
         recs = order_recommendations(spark, source, config)
         target.replace(recs, "user_rec_als")
     return True
@@ -242,14 +306,19 @@ def run_similar_customers(
     config: SimilarityConfig | None = None,
     dry_run: bool = False,
     as_of: datetime | None = None,
+    resume: bool = False,
 ) -> bool:
-    """Without transactions nothing is written and the last output stays."""
+    """Without transactions nothing is written and the last output stays. ``resume`` as above; the
+    window of a run without ``as_of`` ends today, so such a run is resumed on the same day only."""
     config = config or SimilarityConfig()
     check_inputs(spark, source, ["transactions", "transaction_lines"])
     if dry_run:
         similarity_inputs(spark, source, config, as_of)
         return False
-    with scratch_run(spark):
+    names = ["transactions", "transaction_lines", "customer_attr"]
+    day = as_of or spark.range(1).select(F.current_date()).head()[0]
+    key = run_key(spark, source, names, "similar", config, day) if resume else None
+    with scratch_run(spark, key):
         found = similar_customers(spark, source, config, as_of)
         if found is None:
             return False

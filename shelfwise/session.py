@@ -34,6 +34,7 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 _run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+_keeps: ContextVar[bool] = ContextVar("keeps", default=False)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -42,19 +43,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def scratch_run(spark: SparkSession) -> Iterator[None]:
+def scratch_run(spark: SparkSession, key: str | None = None) -> Iterator[None]:
     """Keep the scratch tables of one run in a folder, and delete it at the end.
 
-    Frames made inside must be written before the run ends.
+    Frames made inside must be written before the run ends. A run with a ``key`` that fails leaves
+    its folder, and the next run of that key finds there what was written with ``keep``. Only one
+    run of a key may be under way.
     """
-    folder = scratch_path(spark, "run")
-    mark = _run_folder.set(folder)
+    folder = f"{scratch_root(spark).rstrip('/')}/run-{key}" if key else scratch_path(spark, "run")
+    mark, kept_mark = _run_folder.set(folder), _keeps.set(key is not None)
+    done = False
     try:
         yield
+        done = True
     finally:
         _run_folder.reset(mark)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _keeps.reset(kept_mark)
+        if done or key is None:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def kept(spark: SparkSession, name: str) -> DataFrame | None:
+    """What an earlier run of the same key wrote in full under ``name``."""
+    if not _keeps.get():
+        return None
+    path = f"{_run_folder.get()}/kept-{name}"
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark):
+        return None
+    return spark.read.parquet(path)
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Like ``materialize``; in a run with a key, where its next try finds it."""
+    if not _keeps.get():
+        return materialize(df, name)
+    path = f"{_run_folder.get()}/kept-{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

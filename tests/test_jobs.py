@@ -58,7 +58,7 @@ def test_order_recommendations(spark, source):
     target = scratch_path(spark, "out")
     assert jobs.run_job(
         "customer_order_recommendation_als", spark, source, Target(target), config=SMALL)
-    recs = spark.read.parquet(f"{target}/user_rec_als").toPandas()
+    recs = Target(target).read(spark, "user_rec_als").toPandas()
     entities = spark.read.parquet(f"{source.path}/vw_interactions").select(
         "customer_id", "sales_org_id").distinct().count()
     assert len(recs) == entities * 20 and set(recs.source) == {"als"}
@@ -111,9 +111,9 @@ def test_similar_customers(spark, source):
     target = scratch_path(spark, "out")
     assert jobs.run_job(
         "similar_customers", spark, source, Target(target), config=SIMILAR, as_of=NOW)
-    wide = spark.read.parquet(f"{target}/als_customer_factors_wide")
+    wide = Target(target).read(spark, "als_customer_factors_wide")
     assert wide.columns == ["customer_id", "l2_norm", "f1", "f2", "f3", "f4"]
-    near = spark.read.parquet(f"{target}/customer_neighbors_hybrid").toPandas()
+    near = Target(target).read(spark, "customer_neighbors_hybrid").toPandas()
     assert 7 not in set(near.customer_id) | set(near.neighbor_id)
     assert (near.customer_id % 3 == near.neighbor_id % 3).all()
     assert (near.customer_id != near.neighbor_id).all()
@@ -140,8 +140,10 @@ def test_catalog_target(spark, source):
         for _ in range(2):
             assert jobs.run_similar_customers(
                 spark, source, Target(schema="job_out"), SIMILAR, as_of=NOW)
-        assert sorted(t.name for t in spark.catalog.listTables("job_out")) == [
+        listed = {t.name: t.tableType for t in spark.catalog.listTables("job_out")}
+        assert sorted(n for n, kind in listed.items() if kind == "VIEW") == [
             "als_customer_factors_wide", "customer_neighbors_hybrid"]
+        assert len(listed) == 2 + 2 * 2  # the current version and the one before it
         assert not spark.table("job_out.customer_neighbors_hybrid").isEmpty()
     finally:
         spark.sql("DROP SCHEMA job_out CASCADE")
@@ -155,10 +157,10 @@ def test_no_neighbours_wanted(spark, source):
 def test_no_transactions_keeps_the_last_output(spark, source):
     target = scratch_path(spark, "out")
     jobs.run_similar_customers(spark, source, Target(target), SIMILAR, as_of=NOW)
-    before = spark.read.parquet(f"{target}/als_customer_factors_wide").count()
+    before = Target(target).read(spark, "als_customer_factors_wide").count()
     late = NOW + timedelta(days=5000)
     assert not jobs.run_similar_customers(spark, source, Target(target), SIMILAR, as_of=late)
-    assert spark.read.parquet(f"{target}/als_customer_factors_wide").count() == before > 0
+    assert Target(target).read(spark, "als_customer_factors_wide").count() == before > 0
 
 
 @pytest.mark.parametrize("name", sorted(jobs.JOBS))

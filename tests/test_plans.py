@@ -1,7 +1,11 @@
 """The shape of the physical plans."""
 
+from dataclasses import replace
+
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
+from checks import queries
 from checks.queries import QUERIES
 from checks.standins import Tables
 from shelfwise.config import SimilarityConfig
@@ -10,13 +14,15 @@ from shelfwise.session import materialize
 from shelfwise.sources import tables
 from tests.conftest import SF
 
-LAZY = sorted(
-    set(QUERIES) - {
-        # These write on the way.
-        "als_factors", "als_customer_factors", "als_residual", "als_customer_residual",
-        "order_recommendations",
-        "order_recommendations_shape", "similar_customers", "similar_customers_shape",
-    }
+# These write on the way; the plans of what they write are looked at below.
+MODELS = sorted(
+    name for name in QUERIES
+    if name.startswith(("als_", "order_recommendations", "similar_customers")) and name != "similar_customers_rows"
+)
+LAZY = sorted(set(QUERIES) - set(MODELS) - {"job_profile"})
+SHORT = dict(
+    ORDERS=replace(queries.ORDERS, factors=4, iterations=1),
+    SIMILAR=replace(queries.SIMILAR, factors=4, iterations=1),
 )
 
 
@@ -31,6 +37,41 @@ def test_no_pair_joins_and_no_row_python(spark, name):
         assert bad not in plan
 
 
+@pytest.fixture()
+def written(monkeypatch):
+    """The plans of all frames that are written as files."""
+    plans, write = [], DataFrameWriter.parquet
+
+    def noted(self, *args, **kwargs):
+        plans.append(plan_of(self._df))
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    return plans
+
+
+@pytest.mark.parametrize("name", MODELS)
+def test_jobs_write_no_pair_joins_and_no_row_python(spark, monkeypatch, written, name):
+    """Every table that a job writes, and what it returns; a short fit has the same plans."""
+    for setting, value in SHORT.items():
+        monkeypatch.setattr(queries, setting, value)
+    plans = [plan_of(QUERIES[name](spark, SF)), *written]
+    assert len(written) > 3
+    for plan in plans:
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+            assert bad not in plan
+    # Only the merge of a hot key's partial sums gathers a group: one row per task.
+    grouped = [plan for plan in plans if "FlatMapGroups" in plan]
+    assert bool(grouped) <= (name in ("als_residual_sliced", "als_customer_residual_constant"))
+    assert all("sums" in plan for plan in grouped)
+
+
+def test_each_input_is_scanned_once_for_the_matrix(spark, written):
+    """Cells, numbers and profile come from one reading of the interactions."""
+    QUERIES["job_profile"](spark, SF).collect()
+    assert sum(plan.count("l_partkey") > 0 and "FileScan" in plan for plan in written) == 1
+
+
 def test_only_needed_columns_are_read(spark):
     plan = plan_of(tables.transaction_counts(
         Tables(spark, SF).transactions(), Tables(spark, SF).transaction_lines(), SimilarityConfig()))
@@ -76,7 +117,9 @@ def test_vectors_are_shuffled_once(spark):
     assert plan.count("Exchange ") - plan.count("BroadcastExchange ") == 1
 
 
-def test_lines_are_read_twice(spark):
+def test_lines_are_read_twice(spark, written):
     """Once for the alarms, which are written, and once for what is wanted."""
     plan = plan_of(QUERIES["log_errors"](spark, SF))
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    # The lines and the run list for the alarms, then the lines and the alarms.
+    assert sum(x.count("FileScan parquet") for x in [plan, *written]) == 4

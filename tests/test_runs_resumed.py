@@ -1,0 +1,130 @@
+"""Numbers seen while a job writes its tables, and runs that go on where they broke."""
+
+import os
+from dataclasses import replace
+from datetime import datetime, timedelta
+
+import numpy as np
+import pytest
+
+from shelfwise.config import RecommendationConfig, SimilarityConfig
+from shelfwise.operators import factors, matrix, neighbors, ranking
+from shelfwise.plans import jobs
+from shelfwise.session import scratch_path, scratch_root
+from shelfwise.sinks.tables import Target
+from shelfwise.sources.tenants import TenantSource
+
+NOW = datetime(2024, 6, 1)
+ORDERS = RecommendationConfig(factors=3, iterations=2, topk=12)
+SIMILAR = SimilarityConfig(factors=3, iterations=2, top_m=4)
+TYPED = "customer_id bigint, item_id bigint, weight double, sales_org_id string"
+STATS = (
+    "customer_id bigint, item_id bigint, days_since_last double, med_cycle_days double, "
+    "avg_cycle_days double, sales_org_id string"
+)
+
+
+def picks(seed, n=300):
+    rng = np.random.default_rng(seed)
+    return [(int(c), int(i), float(w), "A") for c, i, w in rng.integers(1, [30, 20, 9], (n, 3))]
+
+
+@pytest.fixture()
+def source(spark):
+    path = scratch_path(spark, "tenant")
+    tables = {
+        "vw_interactions": (picks(1), TYPED),
+        "customer_item_reorder_stats": ([(1, 2, 3.0, None, None, "A")], STATS),
+        "transactions": (
+            [(n, n % 29, NOW - timedelta(days=n % 300), "invoice") for n in range(200)],
+            "txn_id bigint, customer_id bigint, txn_date timestamp, doc_type string"),
+        "transaction_lines": ([(n % 200, n * 7 % 23) for n in range(700)], "txn_id bigint, item_id bigint"),
+        "customer_attr": ([(c, 1, 1, f"s{c % 2}") for c in range(29)],
+                          "customer_id bigint, region_id int, channel_id int, segment_id string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}")
+    return TenantSource("R", path=path)
+
+
+def left_over(spark):
+    place = scratch_root(spark).removeprefix("file:")
+    return {name for name in os.listdir(place) if name.startswith("run-")}
+
+
+def no_fit(*args, **kwargs):
+    raise AssertionError("fitted again")
+
+
+def test_profile_is_seen_on_the_way(spark, monkeypatch):
+    interactions = spark.createDataFrame(picks(2), TYPED)
+    expected = matrix.profile(interactions).head().asDict()
+    monkeypatch.setattr(matrix, "profile", no_fit)
+    built = jobs.order_matrix(interactions)
+    assert built.profile == expected
+    assert built.cells.count() == expected["n_cells"]
+
+
+def test_every_run_reports_its_matrix(spark, source, caplog):
+    with caplog.at_level("INFO", logger="shelfwise.plans.jobs"):
+        jobs.order_recommendations(spark, source, ORDERS)
+        jobs.similar_customers(spark, source, SIMILAR, NOW)
+    said = [r.getMessage() for r in caplog.records if r.getMessage().startswith("matrix: ")]
+    assert len(said) == 2 and all("n_rows 300" in said[0] and "n_items" in x for x in said)
+
+
+def test_a_broken_order_run_does_not_fit_again(spark, source, monkeypatch):
+    plain, target = Target(scratch_path(spark, "plain")), Target(scratch_path(spark, "out"))
+    jobs.run_order_recommendations(spark, source, plain, ORDERS)
+    before = left_over(spark)
+    with monkeypatch.context() as patch:
+        patch.setattr(ranking, "top_items", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.run_order_recommendations(spark, source, target, ORDERS, resume=True)
+    assert len(left_over(spark) - before) == 1
+    with monkeypatch.context() as patch:
+        patch.setattr(factors, "fit", no_fit)
+        assert jobs.run_order_recommendations(spark, source, target, ORDERS, resume=True)
+        # Finished: its tables are gone, and another run starts from the beginning.
+        assert left_over(spark) == before
+        with pytest.raises(AssertionError, match="fitted again"):
+            jobs.run_order_recommendations(spark, source, target, ORDERS, resume=True)
+    rows = [sorted(map(tuple, t.read(spark, "user_rec_als").drop("als_score_raw", "als_score_mm").collect()))
+            for t in (plain, target)]
+    assert rows[0] == rows[1]
+
+
+def test_a_broken_similarity_run_does_not_fit_again(spark, source, monkeypatch):
+    target = Target(scratch_path(spark, "out"))
+    with monkeypatch.context() as patch:
+        patch.setattr(neighbors, "neighbor_rows", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.run_similar_customers(spark, source, target, SIMILAR, as_of=NOW, resume=True)
+    monkeypatch.setattr(factors, "fit", no_fit)
+    assert jobs.run_similar_customers(spark, source, target, SIMILAR, as_of=NOW, resume=True)
+    assert target.read(spark, "customer_neighbors_hybrid").count() == 29 * 4
+
+
+@pytest.mark.parametrize("change", ["config", "files", "unfinished"])
+def test_another_run_does_not_take_the_tables(spark, source, monkeypatch, change):
+    target, config = Target(scratch_path(spark, "out")), ORDERS
+    with monkeypatch.context() as patch:
+        if change == "unfinished":  # it breaks in the fit, so there is nothing to take
+            patch.setattr(factors, "fit", lambda *a: 1 / 0)
+        else:
+            patch.setattr(ranking, "top_items", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.run_order_recommendations(spark, source, target, config, resume=True)
+    if change == "config":
+        config = replace(config, factors=4)
+    if change == "files":
+        spark.createDataFrame(picks(5, 10), TYPED).write.mode("append").parquet(f"{source.path}/vw_interactions")
+    with monkeypatch.context() as patch:
+        patch.setattr(factors, "fit", no_fit)
+        with pytest.raises(AssertionError, match="fitted again"):
+            jobs.run_order_recommendations(spark, source, target, config, resume=True)
+
+
+def test_a_database_cannot_be_resumed(spark):
+    with pytest.raises(ValueError, match="only tables of files"):
+        jobs.run_key(spark, TenantSource("D", jdbc={"url": "jdbc:x"}), ["vw_interactions"])
