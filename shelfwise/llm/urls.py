@@ -2,14 +2,16 @@
 
 A rule names a host (its subdomains included) and a path prefix; the longest rule that fits wins.
 URLs that a rule judges are the labelled URLs. The trees learn from them how a blocked URL is
-written: lengths, path depth, digit ratio, character entropy, parameter count, and statistics of
-the host's suffix over all URLs (frequency, mean length) and over all labelled ones (share
-blocked, smoothed). URLs without a rule get the trees' verdict.
+written: lengths, path depth, labels, digit ratio, character entropy, parameter and hyphen counts,
+and statistics of the host's suffix over all URLs (rows, hosts, mean length), each as a power of
+two. No feature is made from labels, and none names a host or a suffix: suffixes of like size look
+alike to the trees. URLs without a rule get the trees' verdict.
 
 The statistics cover all rows. The trees are fitted on a sample of the labelled URLs, chosen by a
 hash of id and URL, of about ``TRAIN_ROWS`` rows; so one URL on very many pages gives its share of
-the sample and no more. If the labelled URLs are of one kind only, that kind is the verdict; without
-labelled URLs it is allow.
+the sample and no more. With ``held_out``, labelled URLs of one host in so many are kept out of the
+sample, so that ``agreement`` can tell what the trees know of hosts they have not seen. If the
+labelled URLs are of one kind only, that kind is the verdict; without labelled URLs it is allow.
 
 A null URL, or one without ``://``, has an empty host and path and is judged by the trees. URLs of
 any length are read whole. Rows are judged one by one; repeated rows alike. An empty table gives an
@@ -35,7 +37,7 @@ RULES = [
 ]
 FEATURES = [
     "f_length", "f_host_length", "f_path_length", "f_depth", "f_labels", "f_digits", "f_entropy",
-    "f_parameters", "f_hyphens", "f_suffix_count", "f_suffix_length", "f_suffix_blocked",
+    "f_parameters", "f_hyphens", "f_suffix_rows", "f_suffix_hosts", "f_suffix_length",
 ]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -94,10 +96,21 @@ def lexical(urls: DataFrame) -> DataFrame:
     })
 
 
-def judged(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_column: str = "page_id",
-           train_rows: int = TRAIN_ROWS, seed: int = 7) -> DataFrame:
-    """One row per page: host, path, the rule that fits, the verdict, and ``score``, the trees'
-    probability of a block (null where there was nothing to learn)."""
+def suffixes(rows: DataFrame) -> DataFrame:
+    """Per suffix the powers of two below its rows, hosts and mean URL length, written."""
+    power = lambda x: F.floor(F.log2(x)).cast("double")
+    # Hosts first: a suffix on most rows is summed by host, then by suffix.
+    hosts = rows.groupBy("_suffix", "host").agg(F.count(F.lit(1)).alias("_n"), F.sum("f_length").alias("_sum"))
+    found = hosts.groupBy("_suffix").agg(
+        power(F.sum("_n")).alias("f_suffix_rows"),
+        power(F.count(F.lit(1))).alias("f_suffix_hosts"),
+        power(F.greatest(F.sum("_sum") / F.sum("_n"), F.lit(1.0))).alias("f_suffix_length"),
+    )
+    return materialize(found, "suffixes")
+
+
+def described(pages: DataFrame, rules: list[tuple[str, str]], id_column: str, seed: int = 7) -> DataFrame:
+    """Per page its host, path, rule, what the rule says, its label, a random draw and ``FEATURES``."""
     host, path = host_and_path(F.col("url"))
     rows = pages.select(F.col(id_column).alias("_id"), "url", host.alias("host"), path.alias("path"))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
@@ -106,30 +119,57 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_column: st
     rows = rows.withColumn("_label", blocked.cast("double")).drop("url")
     draw = F.pmod(F.xxhash64(F.lit(seed), "_id", "host", "path"), F.lit(DRAWS))
     rows = materialize(rows.withColumn("_draw", draw), "urls")
-    suffixes = materialize(rows.groupBy("_suffix").agg(
-        F.log2(F.count(F.lit(1))).alias("f_suffix_count"),
-        F.avg("f_length").alias("f_suffix_length"),
-        ((F.coalesce(F.sum("_label"), F.lit(0.0)) + 1) / (F.count("_label") + 2)).alias("f_suffix_blocked"),
-    ), "suffixes")
-    rows = rows.join(small_side(suffixes), "_suffix")
+    return rows.join(small_side(suffixes(rows)), "_suffix")
+
+
+def in_fold(host: Column, held_out: int | None, seed: int = 7) -> Column:
+    """Whether a host is kept out of the sample."""
+    if not held_out:
+        return F.lit(False)
+    return F.pmod(F.xxhash64(F.lit(seed), F.lit("host"), host), F.lit(held_out)) == 0
+
+
+def scored(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_column: str = "page_id",
+           train_rows: int = TRAIN_ROWS, seed: int = 7, held_out: int | None = None) -> DataFrame:
+    """The described pages with ``_block``, the trees' verdict as 0 or 1, and ``score``, their
+    probability of a block (null where there was nothing to learn)."""
+    rows = described(pages, rules, id_column, seed)
     rows = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(rows)
-    labelled = rows.filter(F.col("_label").isNotNull())
+    labelled = rows.filter(F.col("_label").isNotNull() & ~in_fold(F.col("host"), held_out, seed))
     kinds = {row[0]: row[1] for row in labelled.groupBy("_label").count().collect()}
-    if len(kinds) == 2:
-        share = min(DRAWS, DRAWS * train_rows // sum(kinds.values()))
-        sample = materialize(labelled.filter(F.col("_draw") < share).select("_features", "_label"), "sample")
-        trees = GBTClassifier(
-            featuresCol="_features", labelCol="_label", predictionCol="_block",
-            maxIter=20, maxDepth=4, stepSize=0.2, seed=seed,
-        ).setProbabilityCol("_p").setRawPredictionCol("_raw")
-        rows = trees.fit(sample).transform(rows)
-        rows = rows.withColumn("score", vector_to_array("_p")[1])
-    else:
-        rows = rows.withColumns({
+    if len(kinds) < 2:
+        return rows.withColumns({
             "_block": F.lit(max(kinds, default=0.0)), "score": F.lit(None).cast("double"),
         })
+    share = min(DRAWS, DRAWS * train_rows // sum(kinds.values()))
+    sample = materialize(labelled.filter(F.col("_draw") < share).select("_features", "_label"), "sample")
+    trees = GBTClassifier(
+        featuresCol="_features", labelCol="_label", predictionCol="_block",
+        maxIter=20, maxDepth=4, stepSize=0.2, seed=seed,
+    ).setProbabilityCol("_p").setRawPredictionCol("_raw")
+    return trees.fit(sample).transform(rows).withColumn("score", vector_to_array("_p")[1])
+
+
+def judged(pages: DataFrame, rules: list[tuple[str, str]] = RULES, id_column: str = "page_id",
+           train_rows: int = TRAIN_ROWS, seed: int = 7) -> DataFrame:
+    """One row per page: host, path, the rule that fits, the verdict, and ``score``, the trees'
+    probability of a block (null where there was nothing to learn)."""
+    rows = scored(pages, rules, id_column, train_rows, seed)
     learned = F.when(F.col("_block") == 1, F.lit("block")).otherwise(F.lit("allow"))
     return rows.select(
         F.col("_id").alias(id_column), "host", "path", "rule",
         F.coalesce("_ruled", learned).alias("verdict"), "score",
     )
+
+
+def agreement(pages: DataFrame, held_out: int = 5, **options) -> DataFrame:
+    """For each host kept out of the sample: its labelled rows, how many the rules block, and for
+    how many the trees say what the rule says."""
+    seed = options.get("seed", 7)
+    rows = scored(pages, held_out=held_out, **options)
+    rows = rows.filter(F.col("_label").isNotNull() & in_fold(F.col("host"), held_out, seed))
+    return rows.groupBy("host").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("_label").cast("long").alias("n_blocked"),
+        F.sum((F.col("_label") == F.col("_block")).cast("long")).alias("n_agree"),
+    )
