@@ -6,12 +6,15 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfwise.session import scratch_path
 
 # Rows between two looks at the input, so that a batch of long texts stays small.
 ROWS = 2000
+# Copies of one row that a task makes.
+COPIES = 10_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,3 +50,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def repeated(rows: DataFrame, times: str, copies: int = COPIES) -> DataFrame:
+    """Each row as often as its column ``times`` says. Many copies of one are dealt over the tasks."""
+    number = F.col(times)
+    few = rows.filter(number == 1).drop(times)
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((number - 1) / copies))
+    many = rows.filter(number > 1).withColumn("_block", F.explode(blocks)).hint("rebalance")
+    size = F.least(number - F.col("_block") * copies, F.lit(copies)).cast("int")
+    made = many.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), size)))
+    return few.unionByName(made.drop(times, "_block", "_copy"))
