@@ -10,8 +10,8 @@ The matrix has one row per bucket of about ``BUCKET_ROWS`` rows; only counts pas
 shard is permuted in blocks of about as many rows, so no task holds a shard.
 
 The keys of both permutations are hashes of seed, id, size and checksum, so a task that runs
-again gives the same rows. Equal rows tie and are interchangeable; they are shuffled like any
-others, as are equal texts. Null text is the empty text; null ids are allowed. An empty table
+again gives the same rows. Rows equal in all three are numbered once in a written table, and the
+number joins the keys: however many there are, they spread over all buckets, as equal texts do. Null text is the empty text; null ids are allowed. An empty table
 gives an empty one. Columns other than the id and the text are not read.
 """
 
@@ -21,6 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.operators.joins import small_side
 from shelfwise.session import materialize
 
 BUCKET_ROWS = 50_000
@@ -53,7 +54,8 @@ def matrix(counts: list[int], shards: int, seed: int) -> np.ndarray:
 
 
 def key(seed: int, salt: int) -> Column:
-    return F.xxhash64(F.lit(seed), F.lit(salt), "_id", "size", "text_crc32")
+    # A null changes no hash: only numbered rows have a number.
+    return F.xxhash64(F.lit(seed), F.lit(salt), "_id", "size", "text_crc32", "_number")
 
 
 def shuffled(
@@ -68,8 +70,18 @@ def shuffled(
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
     )
-    rows = materialize(rows, "sizes")
+    rows = materialize(rows.withColumn("_mark", F.monotonically_increasing_id()), "sizes")
+    equal = rows.groupBy("_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("_n"))
+    equal = materialize(equal.filter("_n > 1").drop("_n").withColumn("_equal", F.lit(True)), "equal")
     total = rows.count()
+    if not equal.isEmpty():
+        same = [rows[name].eqNullSafe(equal[name]) for name in ("_id", "size", "text_crc32")]
+        known = rows.join(small_side(equal), same, "left")
+        number = F.when(F.col("_equal"), F.col("_mark"))
+        rows = known.select(*[rows[name] for name in ("_id", "size", "text_crc32")], number.alias("_number"))
+        rows = materialize(rows, "numbered")
+    else:
+        rows = rows.select("_id", "size", "text_crc32", F.lit(None).cast("long").alias("_number"))
     buckets = max(32, -(-total // bucket_rows))
     rows = rows.withColumn("_bucket", F.pmod(key(seed, 0), F.lit(buckets)).cast("int"))
     found = dict(rows.groupBy("_bucket").count().collect())
@@ -79,11 +91,11 @@ def shuffled(
         [(b, row.tolist()) for b, row in enumerate(bounds)], "_bucket int, _bounds array<long>"
     )
     place = F.row_number().over(
-        Window.partitionBy("_bucket").orderBy(key(seed, 1), "_id", "size", "text_crc32")
+        Window.partitionBy("_bucket").orderBy(key(seed, 1), "_id", "size", "text_crc32", "_number")
     )
     shard = F.size(F.filter("_bounds", lambda bound: bound < F.col("_place")))
     sent = rows.withColumn("_place", place).join(dealt, "_bucket").select(
-        "_id", "size", "text_crc32", shard.alias("shard")
+        "_id", "size", "text_crc32", "_number", shard.alias("shard")
     )
     sent = materialize(sent, "sent")
     blocks = max(4, -(-total // (shards * bucket_rows)))
@@ -93,7 +105,7 @@ def shuffled(
     starts = sent.groupBy("shard", "_block").agg(F.count(F.lit(1)).alias("_n"))
     starts = materialize(starts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))), "starts")
     within = F.row_number().over(
-        Window.partitionBy("shard", "_block").orderBy(key(seed, 3), "_id", "size", "text_crc32")
+        Window.partitionBy("shard", "_block").orderBy(key(seed, 3), "_id", "size", "text_crc32", "_number")
     )
     return sent.withColumn("_within", within).join(starts.drop("_n"), ["shard", "_block"]).select(
         F.col("_id").alias(id_column),

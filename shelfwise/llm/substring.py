@@ -236,7 +236,8 @@ def repeats(documents: DataFrame, size: int = 50, id_column: str = "doc_id") ->
     wanted = places.join(shared, "anchor").groupBy("_id", "_text").agg(
         F.collect_set(F.struct("anchor", "hot")).alias("shared")
     )
-    texts = rows.join(wanted, ["_id", "_text"]).select("_id", "_text", "text", "shared")
+    # Written before they are joined: one id and text on very many rows can then be split.
+    texts = rows.join(stored(wanted, "wanted"), ["_id", "_text"]).select("_id", "_text", "text", "shared")
     found = stored(segments(texts, size), "segments")
     carried = found.filter(F.col("_shard").isNotNull() & F.col("_words").isNotNull())
     parts = max(8, -(-carried.count() // SHARD_ROWS))
@@ -292,7 +293,7 @@ def deduplicated(documents: DataFrame, size: int = 50, id_column: str = "doc_id"
 
     joined = texts.join(covers, ["_id", "_text"]).select("_id", "_text", "text", "runs")
     # Rows of one id and text are equal: one of them stands for all.
-    changed = arrow_map(joined, cut, schema).dropDuplicates(["_id", "_text"])
+    changed = stored(arrow_map(joined, cut, schema).dropDuplicates(["_id", "_text"]), "changed")
     rows = scan.drop("anchors").join(changed, ["_id", "_text"], "left")
     return rows.select(
         F.col("_id").cast(documents.schema[id_column].dataType).alias(id_column),
