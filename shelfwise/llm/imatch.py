@@ -1,12 +1,12 @@
 """I-Match fingerprints: hashes of the terms that random lexicons leave of a text.
 
-Texts are lower-cased in A-Z; terms are their runs of letters, digits and non-ASCII characters. Only
+Texts are lower-cased; terms are their runs of letters, digits and non-ASCII characters. Only
 terms of a band of inverse document frequency count: between one row in ``COMMON`` and one in
 ``RARE`` holds them. Of the band, ``DRAWS`` x ``len(RATES)`` random lexicons keep a share each, drawn
 by a hash of the term; small shares serve long texts, large ones short texts. A signature is the
 hash of a text's distinct terms in one lexicon, sorted by their codes. The fingerprint is all
 signatures in order, ``NONE`` where a lexicon keeps no term of the text. A text of which no lexicon
-keeps a term has the hash of its lower-cased self in every place.
+keeps a term has the hash of itself in every place.
 
 Two fingerprints are alike by the share of equal signatures among those not empty in both. For one
 lexicon that is an estimate of the share of terms that two texts have in common.
@@ -26,6 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.common import repeated
 from shelfwise.operators.joins import small_side
 from shelfwise.operators.matrix import dense_index
 from shelfwise.session import materialize
@@ -39,21 +40,20 @@ WIDTH = 6
 NONE = "-" * WIDTH
 # A code has the lexicon's draw, the term's depth in it and 24 bits of the term's hash.
 DRAW_BITS, DEPTH_BITS = 26, 24
-# Copies of one document that a task makes.
-COPIES = 10_000
 
 KEY = ["_id", "_t1", "_t2"]
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TERM_END = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def lowered(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
-
-
 def terms(text: Column) -> Column:
     """The distinct terms of a text, and the empty one."""
-    return F.array_distinct(F.concat(F.array(F.lit("")), F.split(lowered(text), TERM_END)))
+    return F.array_distinct(F.concat(F.array(F.lit("")), F.split(F.lower(text), TERM_END)))
+
+
+def term_keys(text: Column) -> Column:
+    """The same as 64-bit hashes, which are told apart and joined faster."""
+    parts = F.concat(F.array(F.lit("")), F.split(F.lower(text), TERM_END))
+    return F.array_distinct(F.transform(parts, lambda x: F.xxhash64(x)))
 
 
 def codes(term: Column) -> Column:
@@ -70,39 +70,53 @@ def codes(term: Column) -> Column:
 
 
 def band(rows: DataFrame, common: int, rare: int) -> DataFrame:
-    """(term, codes) of the terms in the band that some lexicon keeps, written.
+    """(_term, codes): hashes of the terms in the band that some lexicon keeps, written.
 
     The empty term has an empty code, so that no text is lost in a join.
     """
     n = F.lit(rows.count())
-    held = rows.select(F.explode(terms(F.col("text"))).alias("term")).filter("term != ''")
+    # An outer explode, as the planner would part the texts twice to filter for an inner one.
+    held = rows.select(F.explode_outer(terms(F.col("text"))).alias("term")).filter("term != ''")
     held = held.groupBy("term").agg(F.count(F.lit(1)).alias("_rows"))
     held = held.filter((F.col("_rows") * common <= n) & (F.col("_rows") * rare >= n))
+    # Written, as the planner would ask for the codes of every term before it counts.
+    held = materialize(held.select("term"), "counted")
     kept = held.select("term", codes(F.col("term")).alias("codes")).filter(F.size("codes") > 0)
     none = rows.sparkSession.range(1).select(F.lit("").alias("term"), F.array(F.lit(-1)).alias("codes"))
-    return materialize(kept.unionByName(none), "band")
+    return materialize(kept.unionByName(none).select(F.xxhash64("term").alias("_term"), "codes"), "band")
 
 
 def fingerprint(held: Column, text_hash: Column) -> Column:
     """From the codes of a text, sorted."""
+    # The codes of one draw are a stretch of the sorted ones, those of one depth its end.
+    draws = F.array(*[F.lit(draw << DRAW_BITS) for draw in range(DRAWS)])
+    depths = F.array(*[F.lit(depth << DEPTH_BITS) for depth in range(len(RATES))])
 
-    def signature(draw: int, depth: int) -> Column:
-        start, end = (draw << DRAW_BITS) + (depth << DEPTH_BITS), (draw + 1 << DRAW_BITS) - 1
-        left = F.array_join(F.filter(held, lambda x: x.between(start, end)).cast("array<string>"), ",")
-        return F.when(left != "", F.substring(F.md5(left.cast("binary")), 1, WIDTH)).otherwise(NONE)
+    def signature(left: Column) -> Column:
+        written = F.array_join(left.cast("array<string>"), ",")
+        return F.when(written != "", F.substring(F.md5(written.cast("binary")), 1, WIDTH)).otherwise(NONE)
 
-    signatures = [signature(draw, depth) for draw in range(DRAWS) for depth in range(len(RATES))]
-    whole = F.repeat(F.substring(text_hash, 1, WIDTH), F.lit(len(signatures)))
-    return F.when(F.element_at(held, -1) >= 0, F.concat(*signatures)).otherwise(whole)
+    def of_draw(draw: Column) -> Column:
+        own = F.filter(held, lambda x: (x >= draw) & (x - draw < 1 << DRAW_BITS))
+        # An array of one, so that the stretch is cut out once for all depths.
+        return F.element_at(F.transform(F.array(own), lambda codes: F.transform(
+            depths, lambda depth: signature(F.filter(codes, lambda x: x - draw >= depth))
+        )), 1)
+
+    whole = F.repeat(F.substring(text_hash, 1, WIDTH), F.lit(DRAWS * len(RATES)))
+    return F.when(F.element_at(held, -1) >= 0, F.array_join(F.flatten(F.transform(draws, of_draw)), "")).otherwise(whole)
 
 
 def likeness(left: Column, right: Column) -> Column:
     """The share of equal signatures among those not empty in both; 1 if all are empty."""
-    places = F.sequence(F.lit(0), F.lit(DRAWS * len(RATES) - 1))
-    at = lambda text, i: F.substr(text, i * WIDTH + 1, F.lit(WIDTH))
-    some = F.filter(places, lambda i: (at(left, i) != NONE) | (at(right, i) != NONE))
-    same = F.filter(some, lambda i: at(left, i) == at(right, i))
-    return F.when(F.size(some) > 0, F.size(same) / F.size(some)).otherwise(F.lit(1.0))
+    places = F.array(*[F.lit(i * WIDTH + 1) for i in range(DRAWS * len(RATES))])
+    none = F.lit(NONE.encode())
+    # Bytes are cut anywhere at once, where text is read from its start.
+    at = lambda text, i: F.substr(text.cast("binary"), i, F.lit(WIDTH))
+    both = F.filter(places, lambda i: (at(left, i) == none) & (at(right, i) == none))
+    same = F.filter(places, lambda i: at(left, i) == at(right, i))
+    some = F.size(places) - F.size(both)
+    return F.when(some > 0, (F.size(same) - F.size(both)) / some).otherwise(F.lit(1.0))
 
 
 def keyed(documents: DataFrame, id_column: str) -> DataFrame:
@@ -156,19 +170,20 @@ def fingerprints(documents: DataFrame, id_column: str = "doc_id", common: int =
     pairs = neighbours(rows)
     texts = edited_texts(rows, pairs)
     both = F.concat(
-        F.transform(terms(F.col("text")), lambda x: F.struct(x.alias("term"), F.lit(False).alias("_new"))),
-        F.transform(terms(F.col("edited")), lambda x: F.struct(x.alias("term"), F.lit(True).alias("_new"))),
+        F.transform(term_keys(F.col("text")), lambda x: F.struct(x.alias("_term"), F.lit(False).alias("_new"))),
+        F.transform(term_keys(F.col("edited")), lambda x: F.struct(x.alias("_term"), F.lit(True).alias("_new"))),
     )
+    carried = ["edited_sha256", "_text", "_edited"]
     hashes = [
         F.sha2("edited", 256).alias("edited_sha256"),
-        *[F.substring(F.md5(lowered(F.col(x)).cast("binary")), 1, WIDTH).alias(f"_{x}") for x in ("text", "edited")],
+        *[F.substring(F.md5(F.col(x).cast("binary")), 1, WIDTH).alias(f"_{x}") for x in ("text", "edited")],
     ]
-    carried = ["edited_sha256", "_text", "_edited"]
-    held = texts.select(*KEY, *hashes, F.inline(both)).join(lexicon, "term")
-    held = held.select(*KEY, *carried, "_new", F.explode("codes").alias("_code"))
+    # The hashes are taken before the terms make many rows of one.
+    held = texts.select(*KEY, *hashes, both.alias("_both")).select(*KEY, *carried, F.inline_outer("_both"))
+    held = held.join(lexicon, "_term").select(*KEY, *carried, "_new", F.explode_outer("codes").alias("_code"))
     held = held.groupBy(*KEY, *carried).agg(
-        F.array_sort(F.collect_set(F.when(~F.col("_new"), F.col("_code")))).alias("_own"),
-        F.array_sort(F.collect_set(F.when(F.col("_new"), F.col("_code")))).alias("_changed"),
+        F.sort_array(F.collect_set(F.when(~F.col("_new"), F.col("_code")))).alias("_own"),
+        F.sort_array(F.collect_set(F.when(F.col("_new"), F.col("_code")))).alias("_changed"),
     )
     found = materialize(held.select(
         *KEY, "edited_sha256",
@@ -188,14 +203,5 @@ def fingerprints(documents: DataFrame, id_column: str = "doc_id", common: int =
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("_following")).alias("near_next"), "_rows",
     )
-    return repeated(result)
-
+    return repeated(result, "_rows")
 
-def repeated(rows: DataFrame) -> DataFrame:
-    """Each row ``_rows`` times. Many copies of one row are dealt over the tasks."""
-    few = rows.filter(F.col("_rows") == 1).drop("_rows")
-    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("_rows") - 1) / COPIES))
-    many = rows.filter(F.col("_rows") > 1).withColumn("_block", F.explode(blocks)).hint("rebalance")
-    size = F.least(F.col("_rows") - F.col("_block") * COPIES, F.lit(COPIES)).cast("int")
-    copies = many.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), size)))
-    return few.unionByName(copies.drop("_rows", "_block", "_copy"))

@@ -314,11 +314,11 @@ o AS (
 e AS (
   SELECT *, concat(substring(text, 1, n - n // 3), substring(next_text, 1, n // 3)) AS edited FROM o),
 v AS (
-  SELECT rid, edited AS is_edited, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  SELECT rid, edited AS is_edited, t
   FROM (SELECT rid, false AS edited, text AS t FROM e UNION ALL SELECT rid, true, edited FROM e)),
 t AS (
   SELECT rid, is_edited, unnest(list_distinct(list_filter(
-    regexp_split_to_array(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> ''))) AS term
+    regexp_split_to_array(lower(t), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> ''))) AS term
   FROM v),
 band AS (
   SELECT term, sha256(term) AS s FROM t WHERE NOT is_edited GROUP BY term

@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.llm import collocations, imatch, runs
+from shelfwise.llm.common import repeated
 from shelfwise.llm.queries import QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -123,7 +124,7 @@ def test_held_phrases_add_up():
 
 def fingerprint_by_hand(text, lexicon):
     rows = []
-    for term in set(re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))) & lexicon:
+    for term in set(re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text).lower())) & lexicon:
         digits = sha(term)
         for draw in range(16):
             value = int(digits[3 * draw : 3 * draw + 3], 16)
@@ -132,7 +133,7 @@ def fingerprint_by_hand(text, lexicon):
                     depth = sum(value < x for x in (32, 8, 2))
                     rows.append((draw, least, (4 * draw + depth << 24) + int(digits[48:54], 16)))
     if not rows:
-        return hashlib.md5(lower(text).encode()).hexdigest()[:6] * 64
+        return hashlib.md5(text.encode()).hexdigest()[:6] * 64
     held = defaultdict(set)
     for draw, least, code in rows:
         held[draw, least].add(code)
@@ -151,7 +152,7 @@ def alike(a, b):
 def fingerprints_by_hand(rows, common, rare):
     """Rows must be unique by id, but for repeated ones."""
     rows = [(doc, text or "") for doc, text in rows]
-    df = Counter(t for _, text in rows for t in set(re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))) - {""})
+    df = Counter(t for _, text in rows for t in set(re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())) - {""})
     lexicon = {t for t, n in df.items() if n * common <= len(rows) <= n * rare}
     order = sorted(set(rows), key=lambda r: (r[0] is None, -(r[0] or 0)))
     following = {row: order[(i + 1) % len(order)] for i, row in enumerate(order)}
@@ -176,10 +177,9 @@ def test_fingerprints_against_brute_force(spark, odd, common, rare):
     assert sorted(((*r[:5], round(r[5], 9), round(r[6], 9)) for r in found), key=str) == fingerprints_by_hand(rows, common, rare)
 
 
-def test_equal_rows_are_dealt_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(imatch, "COPIES", 7)
+def test_equal_rows_are_dealt_in_blocks(spark):
     rows = spark.createDataFrame([(1, 1), (2, 100), (3, 7), (4, 8)], "x int, _rows long")
-    found = imatch.repeated(rows)
+    found = repeated(rows, "_rows", copies=7)
     assert found.columns == ["x"]
     assert Counter(r.x for r in found.collect()) == {1: 1, 2: 100, 3: 7, 4: 8}
 
