@@ -141,7 +141,9 @@ def removed_lines(
     rows = nested(documents, site)
     spread = boilerplate(rows, sites)
     # Positions of boilerplate lines, for each distinct text that has some, and its rows.
-    texts = rows.select(*text_key(), n_lines().alias("_lines"), F.posexplode(lines_of("text")).alias("_at", "_line"))
+    # Keys and counts are taken before the lines make many rows of one.
+    texts = rows.select(*text_key(), n_lines().alias("_lines"), lines_of("text").alias("_parts"))
+    texts = texts.select(*TEXT, "_lines", F.posexplode("_parts").alias("_at", "_line"))
     lines = texts.filter(not_blank(F.col("_line"))).select(*TEXT, "_lines", "_at", *hashes("_line"))
     hits = lines.join(small_side(spread), LINE, "left_semi")
     cuts = hits.groupBy(*TEXT, "_lines").agg(F.collect_set("_at").alias("_places"), F.count(F.lit(1)).alias("_hits"))
