@@ -41,8 +41,10 @@ def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """A row without an id has no label and is not held out."""
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
-    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
+    held_out = F.coalesce(remainder == 0, F.lit(False))
     vectors = quality.word_table(documents)
     network = quality.train(documents, labels.filter(~held_out), vectors)
     scored = quality.scores(documents, vectors, network)
