@@ -123,3 +123,11 @@ def test_lines_are_read_twice(spark, written):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
     # The lines and the run list for the alarms, then the lines and the alarms.
     assert sum(x.count("FileScan parquet") for x in [plan, *written]) == 4
+
+
+def test_vectors_join_where_the_customers_meet(spark):
+    """Tastes: no vector is shuffled or sorted, only the narrow rows and the sums' owners."""
+    plan = plan_of(Tables(spark, SF).taste_vectors(["customer_id"]))
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    above = plan[:plan.index("Exchange hashpartitioning(customer_id")]
+    assert "BroadcastHashJoin [vec_id" in above and "features" not in plan[plan.index("Exchange hashpartitioning(customer_id"):].split("FileScan")[0]
