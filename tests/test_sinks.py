@@ -100,6 +100,15 @@ def test_six_decimals(spark):
     assert got == ["%.6f" % v for v in values] + [None]
 
 
+def test_six_decimals_round_the_exact_value(spark):
+    """Seven decimals that end in 5, as lists of 65 items have: most lie just beside the half."""
+    values = [0.7 + 0.3 * (1 - k / 64) for k in range(65)] + [0.3 * (1 - k / 192) for k in range(193)]
+    values += [-v for v in values] + [k * 1e-6 + 5e-7 for k in range(200)] + [1e6 + 5e-7, 12345.0000005]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r[0] for r in df.select(sinks.six_decimals(df.v)).collect()]
+    assert got == ["%.6f" % v for v in values]
+
+
 def test_target_is_one_place():
     with pytest.raises(ValueError):
         sinks.Target()
