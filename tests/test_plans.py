@@ -8,7 +8,8 @@ from pyspark.sql.readwriter import DataFrameWriter
 from checks import queries
 from checks.queries import QUERIES
 from checks.standins import Tables
-from shelfwise.config import SimilarityConfig
+from shelfwise.config import RecommendationConfig, SimilarityConfig
+from shelfwise.operators import matrix, ranking
 from shelfwise.operators.neighbors import closest_customers
 from shelfwise.session import materialize
 from shelfwise.sources import tables
@@ -131,3 +132,18 @@ def test_vectors_join_where_the_customers_meet(spark):
     assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
     above = plan[:plan.index("Exchange hashpartitioning(customer_id")]
     assert "BroadcastHashJoin [vec_id" in above and "features" not in plan[plan.index("Exchange hashpartitioning(customer_id"):].split("FileScan")[0]
+
+
+def test_lists_and_reorder_statistics_are_gathered_by_windows(spark):
+    """Aggregates of collected values would sort and serialise every key's rows again."""
+    for name in ("rec_counts", "reorder_stats"):
+        assert "ObjectHashAggregate" not in plan_of(QUERIES[name](spark, SF))
+
+
+def test_ranking_needs_no_shuffle_after_the_weights(spark, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    cells = materialize(spark.range(100).selectExpr(
+        "id % 10 AS customer_id", "'A' AS sales_org_id", "id AS item_id", "1D AS weight"), "cells")
+    weighted = matrix.bm25(cells, RecommendationConfig(), broadcast_rows=0)
+    lists = ranking.ranked_lists(weighted.withColumnRenamed("weight", "als_score_raw"), 5)
+    assert plan_of(lists).count("Exchange hashpartitioning") == 4  # both sides of the two joins
