@@ -12,12 +12,16 @@ Lines are parted by ``\\n`` and compared whole, by two 64-bit hashes. Null text
 has no lines. A null site counts for no line. Rows are edited where they stand: repeated rows are
 edited alike, all columns and rows stay whatever their names, and an empty table gives an empty one.
 
-Only DataFrame functions run here. One line on a third of all rows is summed before the shuffle;
-the boilerplate lines are written once and joined, by broadcast while their size allows it.
+All but one look-up of hashes are DataFrame functions. One line on a third of all rows is summed before the shuffle;
+the boilerplate lines are written once and joined, by broadcast while their size allows it. Texts without any stay where they are, the others are
+shuffled to their cuts.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +36,8 @@ MARGIN = 4
 ALIKE = 0.8
 # A text with more boilerplate than this share of its lines may be a near copy.
 MOSTLY = 0.5
+# So many boilerplate lines at most (8 bytes each) are looked up beside each text.
+MOST_LOOKED_UP = 500_000
 # A line in one number: the low bits hold its length, the others a hash.
 LENGTH_BITS = 24
 
@@ -133,6 +139,22 @@ def near_copies(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     return materialize(shown.distinct(), "copies")
 
 
+def touched(spread: DataFrame) -> Column | None:
+    """Whether a text may hold a line of ``spread``, or None if these are too many to look up beside it."""
+    if spread.count() > MOST_LOOKED_UP:
+        return None
+    known = np.unique(spread.select("_h1").toArrow().column(0).to_numpy())
+
+    def may_hold(lines: pa.Array) -> pa.Array:
+        found = np.isin(lines.flatten().to_numpy(zero_copy_only=False), known)
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lines), 0).to_numpy(zero_copy_only=False))
+        seen = np.concatenate([[0], np.cumsum(found)])
+        return pa.array(seen[ends] > seen[np.concatenate([[0], ends[:-1]])])
+
+    held = F.transform(lines_of("text"), lambda line: F.xxhash64(line))
+    return F.arrow_udf(may_hold, "boolean")(held)
+
+
 def removed_lines(
     documents: DataFrame, site: str = "source", sites: int = 10, spare_near_copies: bool = False
 ) -> DataFrame:
@@ -155,7 +177,14 @@ def removed_lines(
         cuts = materialize(cuts.join(marks, TEXT, "left"), "marked-cuts")
         spared = spared | F.col("_near").isNotNull()
     cuts = cuts.select(*TEXT, "_places", "_found", F.when(spared, 0).otherwise(F.col("_found")).alias("_cut"))
+    # Only texts that may hold boilerplate travel to their cuts; the others are whole where they stand.
+    marked, may_hold = rows, touched(spread)
+    if may_hold is not None:
+        marked = rows.withColumn("_may", may_hold)
+        rows = marked.filter("_may").drop("_may")
     edited = rows.withColumns(dict(zip(TEXT, text_key()))).join(cuts, TEXT, "left")
+    if may_hold is not None:
+        edited = edited.unionByName(marked.filter("NOT _may").drop("_may"), allowMissingColumns=True)
     stays = F.filter(lines_of("text"), lambda line, at: ~F.array_contains("_places", at))
     cut = F.coalesce("_cut", F.lit(0))
     return edited.select(

@@ -111,3 +111,18 @@ def test_near_copies_of_many_sizes_are_spared(spark):
     print(f"{len(planted)} near copies, recall {recall:.4f}")
     assert len(planted) > 600 and recall > 0.97
     assert all(found[i] == text for i, text in own.items())
+
+
+def test_texts_without_boilerplate_stay_where_they_are(spark):
+    """Only texts that hold a boilerplate line are shuffled to their cuts."""
+    from shelfwise.llm import lines
+
+    rows = spark.createDataFrame(
+        [(i, f"own {i}\nshared\nmore {i}" if i < 12 else (None if i == 12 else f"alone {i}"), f"s{i}") for i in range(30)],
+        "doc_id long, text string, source string",
+    )
+    spread = lines.boilerplate(lines.nested(rows, "source"), 10)
+    marked = rows.select("doc_id", lines.touched(spread).alias("may")).collect()
+    assert {r.doc_id for r in marked if r.may} == set(range(12)) and all(r.may is not None for r in marked)
+    got = {r.doc_id: r.text for r in lines.edited(rows).collect()}
+    assert got == {i: f"own {i}\nmore {i}" if i < 12 else None if i == 12 else f"alone {i}" for i in range(30)}
