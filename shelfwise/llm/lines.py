@@ -12,16 +12,13 @@ Lines are parted by ``\\n`` and compared whole, by two 64-bit hashes. Null text
 has no lines. A null site counts for no line. Rows are edited where they stand: repeated rows are
 edited alike, all columns and rows stay whatever their names, and an empty table gives an empty one.
 
-All but one look-up of hashes are DataFrame functions. One line on a third of all rows is summed before the shuffle;
+All steps are DataFrame functions. One line on a third of all rows is summed before the shuffle;
 the boilerplate lines are written once and joined, by broadcast while their size allows it. Texts without any stay where they are, the others are
 shuffled to their cuts.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +33,8 @@ MARGIN = 4
 ALIKE = 0.8
 # A text with more boilerplate than this share of its lines may be a near copy.
 MOSTLY = 0.5
-# So many boilerplate lines at most (8 bytes each) are looked up beside each text.
-MOST_LOOKED_UP = 500_000
+# So many boilerplate lines at most are looked up beside each text, as numbers of the plan.
+MOST_LOOKED_UP = 20_000
 # A line in one number: the low bits hold its length, the others a hash.
 LENGTH_BITS = 24
 
@@ -141,18 +138,12 @@ def near_copies(rows: DataFrame, cuts: DataFrame) -> DataFrame:
 
 def touched(spread: DataFrame) -> Column | None:
     """Whether a text may hold a line of ``spread``, or None if these are too many to look up beside it."""
-    if spread.count() > MOST_LOOKED_UP:
+    found = spread.select("_h1").distinct()
+    if found.count() > MOST_LOOKED_UP:
         return None
-    known = np.unique(spread.select("_h1").toArrow().column(0).to_numpy())
-
-    def may_hold(lines: pa.Array) -> pa.Array:
-        found = np.isin(lines.flatten().to_numpy(zero_copy_only=False), known)
-        ends = np.cumsum(pc.fill_null(pc.list_value_length(lines), 0).to_numpy(zero_copy_only=False))
-        seen = np.concatenate([[0], np.cumsum(found)])
-        return pa.array(seen[ends] > seen[np.concatenate([[0], ends[:-1]])])
-
-    held = F.transform(lines_of("text"), lambda line: F.xxhash64(line))
-    return F.arrow_udf(may_hold, "boolean")(held)
+    # As text: the planner makes one hash set of the numbers.
+    known = ", ".join(f"{row._h1}L" for row in found.collect()) or "NULL"
+    return F.expr(rf"coalesce(exists(split(text, '\n', -1), line -> xxhash64(line) IN ({known})), false)")
 
 
 def removed_lines(

@@ -11,6 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.llm import lines, near
+from shelfwise.session import materialize
+from tests.test_plans import plan_of
 
 PACKAGE = Path(lines.__file__).parent
 
@@ -126,3 +128,26 @@ def test_texts_without_boilerplate_stay_where_they_are(spark):
     assert {r.doc_id for r in marked if r.may} == set(range(12)) and all(r.may is not None for r in marked)
     got = {r.doc_id: r.text for r in lines.edited(rows).collect()}
     assert got == {i: f"own {i}\nmore {i}" if i < 12 else None if i == 12 else f"alone {i}" for i in range(30)}
+
+
+def test_lines_run_no_python(spark):
+    """Texts are looked up by DataFrame functions, also where boilerplate is found or none is."""
+    for n in (3, 12):
+        rows = spark.createDataFrame(
+            [(i, f"own {i}\nshared", f"s{i}") for i in range(n)], "doc_id long, text string, source string")
+        rows = materialize(rows, "documents")
+        plan = plan_of(lines.digest(rows))
+        assert "Python" not in plan and "MapInArrow" not in plan
+        spread = lines.boilerplate(lines.nested(rows, "source"), 10)
+        assert spread.count() == (n == 12)
+        assert rows.filter(lines.touched(spread)).count() == (12 if n == 12 else 0)
+
+
+def test_many_boilerplate_lines_are_looked_up(spark):
+    """Thousands of hashes, negative ones too, as one set of the plan."""
+    known = spark.range(lines.MOST_LOOKED_UP).select(F.xxhash64(F.concat(F.lit("line "), "id")).alias("_h1"))
+    texts = spark.range(0, 2 * lines.MOST_LOOKED_UP, 500).selectExpr("id", "concat('x\\n', 'line ', id, '\\ny') AS text")
+    found = {r.id for r in texts.filter(lines.touched(known)).collect()}
+    assert found == set(range(0, lines.MOST_LOOKED_UP, 500))
+    more = known.unionByName(spark.range(1).select(F.lit(1).cast("long").alias("_h1")))
+    assert lines.touched(more) is None
