@@ -30,10 +30,25 @@ def arrow_map(
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 yield from function(batch.slice(at, ROWS))
+            # A worker stays for later tasks: it gives back what this batch took.
+            batch = None
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
 
+_sole: list = [None, None]
+
+
+def sole(key: tuple, make: Callable[[], object]) -> object:
+    """The one large object that a worker holds for its tasks: the model of an earlier stage goes
+    before that of the next is made. ``key`` tells them apart."""
+    if _sole[0] != key:
+        _sole[:] = None, None
+        _sole[:] = key, make()
+    return _sole[1]
+
+
 def encoded(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; null is the empty text."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -20,7 +20,6 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm import words as w
-from shelfwise.llm.common import arrow_map, arrow_schema, repeated
+from shelfwise.llm.common import arrow_map, arrow_schema, repeated, sole
 from shelfwise.operators.joins import small_side
 from shelfwise.session import materialize
 
@@ -60,46 +59,32 @@ def patterns(items: list[tuple[str | None, list[str]]], size: int) -> dict[str,
     return {key: (n, tuple(sorted(ids))) for key, (n, ids) in found.items()}
 
 
-@lru_cache(maxsize=2)
-def automaton_of(name: str, found: Patterns):
-    """One automaton for all tasks of a worker; ``name`` tells the blocks apart."""
+def automaton_of(found: dict[str, tuple[int, tuple[str, ...]]]):
     import ahocorasick
 
     automaton = ahocorasick.Automaton()
-    for key, (n, ids) in found.patterns.items():
+    for key, (n, ids) in found.items():
         automaton.add_word(key, (len(key), n, ids))
     automaton.make_automaton()
     return automaton
 
 
-class Patterns:
-    """The patterns of a block. All are equal to the cache, which goes by the block's name."""
-
-    def __init__(self, patterns: dict[str, tuple[int, tuple[str, ...]]]):
-        self.patterns = patterns
-
-    def __eq__(self, other) -> bool:
-        return isinstance(other, Patterns)
-
-    def __hash__(self) -> int:
-        return 0
-
-
 class Scanner:
     """Finds the patterns of one block in texts."""
 
     def __init__(self, found: dict[str, tuple[int, tuple[str, ...]]]):
-        self.found = Patterns(found)
+        self.found = found
         self.name = uuid.uuid4().hex
 
     @property
     def automaton(self):
-        return automaton_of(self.name, self.found)
+        """One for all tasks of a worker; the name tells the blocks apart."""
+        return sole(("automaton", self.name), lambda: automaton_of(self.found))
 
     def scan(self, text: bytes) -> tuple[int, list[tuple[int, int, int, int]], list[str]]:
         """Number of words; runs of hit words (first, last, start, end); ids of the items."""
         words = text.translate(TO_SPACE).split()
-        if not words or not self.found.patterns:
+        if not words or not self.found:
             return len(words), [], []
         flat = f" {b' '.join(words).decode('latin-1')} "
         marks, items = [], set()

@@ -18,14 +18,13 @@ from __future__ import annotations
 
 import base64
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from shelfwise.llm import words as w
-from shelfwise.llm.common import arrow_map, arrow_schema
+from shelfwise.llm.common import arrow_map, arrow_schema, sole
 
 SYMBOLS = np.zeros(256, dtype=bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -180,10 +179,9 @@ class Fertility:
         return n, len(text) / n, float(self.is_byte[ids].sum() / n), entropy
 
 
-@lru_cache(maxsize=2)
 def fertility_of(vocabulary: Vocabulary) -> Fertility:
     """One encoder for all tasks of a worker."""
-    return Fertility(vocabulary.ranks, vocabulary.pattern)
+    return sole(("fertility", vocabulary), lambda: Fertility(vocabulary.ranks, vocabulary.pattern))
 
 
 def measures(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import random
 import re
@@ -10,7 +11,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm import lines, near
+from shelfwise.llm import decontaminate, lines, near, pieces, rules
+from shelfwise.llm.queries import content, vocabulary
 from shelfwise.session import materialize
 from tests.test_plans import plan_of
 
@@ -151,3 +153,20 @@ def test_many_boilerplate_lines_are_looked_up(spark):
     assert found == set(range(0, lines.MOST_LOOKED_UP, 500))
     more = known.unionByName(spark.range(1).select(F.lit(1).cast("long").alias("_h1")))
     assert lines.touched(more) is None
+
+
+def test_a_worker_holds_one_model():
+    """The model of an earlier stage goes when a worker needs the next; a model in use is not built again."""
+    made = []
+    for make in (
+        lambda: rules.fertility_of(vocabulary()), lambda: pieces.codec_of(content("piece_bpe_32k.model")),
+        lambda: decontaminate.Scanner(decontaminate.patterns([("one two three", ["a"])], 2)).automaton,
+    ):
+        model = make()
+        gc.collect()
+        kinds = {type(x) for x in gc.get_objects() if isinstance(x, (rules.Fertility, pieces.Codec))}
+        assert kinds <= {type(model)}
+        made.append(type(model))
+        del model
+    assert made[:2] == [rules.Fertility, pieces.Codec] and pieces.codec_of(
+        content("piece_bpe_32k.model")) is pieces.codec_of(content("piece_bpe_32k.model"))
