@@ -147,3 +147,14 @@ def test_ranking_needs_no_shuffle_after_the_weights(spark, setting):
     weighted = matrix.bm25(cells, RecommendationConfig(), broadcast_rows=0)
     lists = ranking.ranked_lists(weighted.withColumnRenamed("weight", "als_score_raw"), 5)
     assert plan_of(lists).count("Exchange hashpartitioning") == 4  # both sides of the two joins
+
+
+@pytest.mark.parametrize("name", ["similar_customers", "similar_customers_shape"])
+def test_lists_of_neighbours_are_not_shuffled(spark, written, name):
+    """What a list holds is counted where the search makes it: its rows are neither written nor grouped."""
+    QUERIES[name](spark, SF).collect()
+    made = [plan for plan in written if "matches" in plan]
+    assert made
+    for plan in made:
+        head = plan[:plan.index("MapInArrow")]
+        assert "Exchange" not in head and "Generate" not in head
